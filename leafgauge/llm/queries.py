@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, token_counts
+from . import bpe, near_dups, token_counts
 from .common import read
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -17,10 +17,14 @@ def op6_bpe(spark, sf_dir):
     return bpe.digests(bpe.encode_decode(read(spark, sf_dir, "documents"), WORD_BPE))
 
 
+def op7_near_dups(spark, sf_dir):
+    return near_dups.near_duplicates(read(spark, sf_dir, "documents"), k=4, percent=80)
+
+
 def op9_token_counts(spark, sf_dir):
     out = token_counts.token_counts(read(spark, sf_dir, "documents"), PIECE_BPE)
     return out.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
-QUERIES = {f.__name__: f for f in (op6_bpe, op9_token_counts)}
+QUERIES = {f.__name__: f for f in (op6_bpe, op7_near_dups, op9_token_counts)}
 ORACLE_SQL: dict[str, str] = {}

@@ -8,7 +8,8 @@ their 4-bit sketches; what may reach the similarity is confirmed on full sets.
 
 Texts with equal sets are one node from the start. A first pass links each node to its best
 neighbour with a smaller id; a second weighs all neighbours that are still in different components.
-So no group of copies is ever expanded into its pairs.
+So no group of copies is ever expanded into its pairs: where both of a pair have many neighbours left,
+their sets are sent to the region and confirmed there, and only links that join components leave it.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ VALUES, TREES, READS, DEPTHS = 256, 12, 20, (2, 5, 10)
 BLOCK, BLOCKS = 2048, 16
 #: An estimated similarity lies below the true one by this much about once in 10^4 pairs.
 MARGIN = 0.1
+#: Neighbours in other components up to which a node's pairs leave their region unconfirmed.
+PARTNERS = 16
 
 
 def signatures(docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
@@ -70,102 +73,169 @@ def signatures(docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame
     return docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("t")).mapInArrow(work, "id bigint, n bigint, h1 bigint, h2 bigint, sketch binary, keys array<bigint>")
 
 
-def _regions(nodes: DataFrame) -> DataFrame:
-    """Rows (tree, region, bi, bj, b, id, n, comp, sketch): nodes dealt to the regions they belong to.
+def _regions(nodes: DataFrame) -> tuple[DataFrame, bool]:
+    """Rows (tree, region, bi, bj, b, id, n, comp, sketch) of nodes dealt to their regions; whether any has a longer prefix.
 
     A region of more than BLOCK rows is cut into blocks, and each pair of blocks meets once; one of more than
     BLOCKS blocks is read to a longer prefix first, as far as DEPTHS goes.
     """
-    rows = nodes.select("*", F.explode(F.expr(f"sequence(0, {TREES - 1})")).alias("tree")).withColumn("at", F.lit(0))
-    sizes = None
+
+    def key(d):
+        return F.expr(f"element_at(keys, {d * TREES} + tree + 1)")
+
+    rows = nodes.select("*", F.explode(F.expr(f"sequence(0, {TREES - 1})")).alias("tree"))
+    rows = rows.withColumn("region", key(0)).withColumn("nb", F.lit(1)).withColumn("deep", F.lit(True))
+    deeper = False
     for d in range(len(DEPTHS)):
-        region = F.expr(f"element_at(keys, {d * TREES} + tree + 1)")
-        last = d == len(DEPTHS) - 1
-        if d == 0:
-            large = cut(rows.select("tree", region.alias("region")).groupBy("tree", "region").count().where(F.col("count") > BLOCK))
-        else:
-            deeper = rows.join(sizes.where("deep"), ["tree", "region"], "left_semi")
-            large = cut(deeper.select("tree", region.alias("r2")).groupBy("tree", "r2").count().where(F.col("count") > BLOCK).withColumnRenamed("r2", "region"))
-        sizes = large.select("tree", "region", F.ceil(F.col("count") / BLOCK).cast("int").alias("nb"), (F.col("count") > (1 << 62 if last else BLOCK * BLOCKS)).alias("deep"))
-        any_large = not large.isEmpty()
-        if d == 0:
-            rows = rows.withColumn("region", region).withColumn("nb", F.lit(1))
-        if not any_large:
+        large = cut(rows.where("deep").groupBy("tree", "region").count().where(F.col("count") > BLOCK))
+        if large.isEmpty():
             break
-        # Only rows of large regions change: their blocks, or their longer prefix.
-        if d:
-            rows = rows.withColumn("region", F.when(F.col("deep"), region).otherwise(F.col("region"))).drop("deep")
-        rows = rows.drop("nb").join(sizes, ["tree", "region"], "left").withColumn("nb", F.when(F.col("deep"), 1).otherwise(F.coalesce("nb", F.lit(1)))).withColumn("deep", F.coalesce("deep", F.lit(False)))
-        if sizes.where("deep").isEmpty():
+        most = BLOCK * BLOCKS if d + 1 < len(DEPTHS) else 1 << 62
+        large = large.select("tree", "region", F.ceil(F.col("count") / BLOCK).cast("int").alias("nb2"), (F.col("count") > most).alias("deep2"))
+        rows = rows.join(large, ["tree", "region"], "left").withColumn("deep", F.col("deep") & F.coalesce("deep2", F.lit(False)))
+        rows = rows.withColumn("nb", F.when(F.col("deep"), 1).otherwise(F.coalesce("nb2", "nb"))).drop("nb2", "deep2")
+        if large.where("deep2").isEmpty():
             break
-    b = F.expr("cast(pmod(xxhash64(id, tree), nb) as int)")
-    rows = rows.withColumn("b", b).withColumn("o", F.explode(F.expr("sequence(0, nb - 1)")))
-    return rows.select("tree", "region", F.least("b", "o").alias("bi"), F.greatest("b", "o").alias("bj"), "b", "id", "n", "comp", "sketch")
+        deeper = True
+        rows = rows.withColumn("region", F.when(F.col("deep"), key(d + 1)).otherwise(F.col("region")))
+    rows = rows.withColumn("b", F.expr("cast(pmod(xxhash64(id, tree), nb) as int)")).withColumn("o", F.explode(F.expr("sequence(0, nb - 1)")))
+    rows = rows.select("tree", "region", F.least("b", "o").alias("bi"), F.greatest("b", "o").alias("bj"), "b", "id", "n", "comp", "sketch", *(c for c in nodes.columns if c == "base"))
+    return rows, deeper
+
 
+REGION = ("tree", "region", "bi", "bj")
 
-def _neighbours(regions: DataFrame, percent: int, all_pairs: bool) -> DataFrame:
-    """Rows (a, b), a <= b: with all_pairs, neighbours of different components; else the best smaller one, or (a, a)."""
+
+def _by_region(rows: DataFrame, region, schema: str) -> DataFrame:
+    """Run region(key, rows) over the rows of every region; rows are tuples in the frame's order after its key."""
 
     def work(batches):
-        import numpy as np
         import pyarrow as pa
 
-        same = np.array([(x >> 4 == 0) + (x & 15 == 0) for x in range(256)], np.uint8)
-        least = VALUES * (1 / 16 + 15 / 16 * (percent / 100 - MARGIN))
-
-        def region(key, rows):
-            rows = sorted(set(rows))
-            if len(rows) < 2:
-                return
-            ids = [r[0] for r in rows]
-            n = np.array([r[1] for r in rows], np.int64)
-            comp = np.array([r[2] for r in rows], np.int64)
-            block = np.array([r[3] for r in rows], np.int64)
-            s = np.frombuffer(b"".join(r[4] for r in rows), np.uint8).reshape(len(rows), -1)
-            if all_pairs and (comp == comp[0]).all():
-                return
-            has = np.zeros(len(rows), bool)
-            for i in range(1, len(rows)):
-                may = 100 * np.minimum(n[:i], n[i]) >= percent * np.maximum(n[:i], n[i])
-                if key[2] != key[3]:
-                    may &= block[:i] != block[i]
-                if all_pairs:
-                    may &= comp[:i] != comp[i]
-                js = np.flatnonzero(may)
-                if not len(js):
-                    continue
-                score = same[s[js] ^ s[i]].sum(axis=1)
-                js, score = js[score >= least], score[score >= least]
-                if not len(js):
-                    continue
-                if all_pairs:
-                    for j in js.tolist():
-                        yield ids[j], ids[i]
-                else:
-                    has[js] = True
-                    yield ids[int(js[score.argmax()])], ids[i]
-            for j in np.flatnonzero(has).tolist():
-                yield ids[j], ids[j]
-
         key, held, out = None, [], []
+
+        def handed():
+            columns = list(zip(*out, strict=True)) or [()] * len(kinds)
+            out.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], kinds)
+
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in range(batch.num_columns)]
-            for t, r, bi, bj, b, i, n, c, sketch in zip(*columns, strict=True):
-                if (t, r, bi, bj) != key:
+            for row in zip(*(batch.column(c).to_pylist() for c in range(batch.num_columns)), strict=True):
+                if row[:4] != key:
                     if len(held) > 1:
                         out += region(key, held)
-                    key, held = (t, r, bi, bj), []
+                    key, held = row[:4], []
                     if len(out) > 10_000:
-                        yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], ["a", "b"])
-                        out = []
-                held.append((i, n, c, b, sketch))
+                        yield handed()
+                held.append(row[4:])
         if len(held) > 1:
             out += region(key, held)
-        yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], ["a", "b"])
+        yield handed()
+
+    kinds = [x.split()[0] for x in schema.split(", ")]
+    return spread(rows, *REGION).sortWithinPartitions(*REGION).mapInArrow(work, schema)
+
+
+class _Region:
+    """The distinct rows (b, id, n, comp, sketch, *more) of a region as arrays."""
+
+    def __init__(self, key, rows, percent):
+        import numpy as np
+
+        self.key, self.percent = key, percent
+        self.rows = sorted({r[1]: r for r in rows}.values(), key=lambda r: r[1])
+        self.ids = [r[1] for r in self.rows]
+        self.block, self.n, self.comp = (np.array([r[c] for r in self.rows], np.int64) for c in (0, 2, 3))
+        self.sketch = np.frombuffer(b"".join(r[4] for r in self.rows), np.uint8).reshape(len(self.rows), -1)
+        self.same = np.array([(x >> 4 == 0) + (x & 15 == 0) for x in range(256)], np.uint8)
+        self.least = VALUES * (1 / 16 + 15 / 16 * (percent / 100 - MARGIN))
+
+    def before(self, i: int, base=None):
+        """Rows before i that may be near it, and how many of their values agree; base: skip what an earlier tree compares."""
+        import numpy as np
+
+        may = 100 * np.minimum(self.n[:i], self.n[i]) >= self.percent * np.maximum(self.n[:i], self.n[i])
+        if self.key[2] != self.key[3]:
+            may &= self.block[:i] != self.block[i]
+        if base is not None:
+            may &= self.comp[:i] != self.comp[i]
+        js = np.flatnonzero(may)
+        if base is not None and len(js) and self.key[0]:
+            js = js[~(base[js, : self.key[0]] == base[i, : self.key[0]]).any(axis=1)]
+        score = self.same[self.sketch[js] ^ self.sketch[i]].sum(axis=1) if len(js) else js
+        return js[score >= self.least], score[score >= self.least]
+
+
+def _best(regions: DataFrame, percent: int) -> DataFrame:
+    """Rows (a, b): for each node of a region the best neighbour with a smaller id; (a, a) for whatever is a neighbour."""
+
+    def region(key, rows):
+        import numpy as np
+
+        r = _Region(key, rows, percent)
+        has = np.zeros(len(r.ids), bool)
+        for i in range(1, len(r.ids)):
+            js, score = r.before(i)
+            if len(js):
+                has[js] = True
+                yield r.ids[int(js[score.argmax()])], r.ids[i]
+        for j in np.flatnonzero(has).tolist():
+            yield r.ids[j], r.ids[j]
+
+    return _by_region(regions, region, "a bigint, b bigint").distinct()
+
+
+def _across(regions: DataFrame, percent: int) -> DataFrame:
+    """Neighbours in different components: rows (a, b), or (id, null, region) for those with many, to be confirmed there."""
+
+    def region(key, rows):
+        import numpy as np
+
+        r = _Region(key, rows, percent)
+        if (r.comp == r.comp[0]).all():
+            return
+        base = np.array([x[5] for x in r.rows], np.int64) if r.rows[0][5] is not None else np.empty((len(r.ids), 0), np.int64)
+        near = [(i, r.before(i, base)[0]) for i in range(1, len(r.ids))]
+        count = np.zeros(len(r.ids), np.int64)
+        for i, js in near:
+            count[js] += 1
+            count[i] += len(js)
+        many = count > PARTNERS
+        for i, js in near:
+            for j in js[~(many[js] & many[i])].tolist():
+                yield r.ids[j], r.ids[i], None, None, None, None, None
+        for i in np.flatnonzero(many).tolist():
+            yield r.ids[i], None, *key, int(r.block[i])
+
+    return _by_region(regions, region, "a bigint, b bigint, tree bigint, region bigint, bi bigint, bj bigint, block bigint")
+
+
+def _joined_there(rows: DataFrame, k: int, percent: int) -> DataFrame:
+    """Confirmed links (a, b) within regions whose rows carry their texts: those that join two components, no others."""
+
+    def region(key, rows):
+        import numpy as np
+
+        from .shingles import enough, shingle_set, unpack
+
+        r = _Region(key, rows, percent)
+        base = np.array([x[5] for x in r.rows], np.int64) if r.rows[0][5] is not None else np.empty((len(r.ids), 0), np.int64)
+        sets = [shingle_set(unpack(x[6]).split(), k) for x in r.rows]
+        top = {c: c for c in r.comp.tolist()}
+
+        def of(c):
+            while top[c] != c:
+                top[c] = c = top[top[c]]
+            return c
+
+        for i in range(1, len(r.ids)):
+            for j in r.before(i, base)[0].tolist():
+                x, y = of(int(r.comp[i])), of(int(r.comp[j]))
+                if x != y and enough(sets[i], sets[j], percent):
+                    top[max(x, y)] = min(x, y)
+                    yield r.ids[j], r.ids[i]
 
-    keys = ("tree", "region", "bi", "bj")
-    dealt = spread(regions, *keys).sortWithinPartitions(*keys)
-    return dealt.mapInArrow(work, "a bigint, b bigint").distinct()
+    return _by_region(rows, region, "a bigint, b bigint").distinct()
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
@@ -228,16 +298,22 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     nodes = full.join(least.select(F.col("rep").alias("id"), "h1", "h2"), ["id", "h1", "h2"], "left_semi").select("id", "n", "sketch", "keys")
     nodes = cut(nodes.withColumn("comp", F.col("id")))
 
-    found = cut(_neighbours(_regions(nodes), percent, False))
+    found = cut(_best(_regions(nodes)[0], percent))
     near = found.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = cut(_packed(docs, id_col, text_col).join(near, "id", "left_semi").dropDuplicates(["id"]))
+    texts = cut(_packed(docs, id_col, text_col).join(near.hint("merge"), "id", "left_semi").dropDuplicates(["id"]))
     pairs = found.where("a < b")
     links = cut(_confirmed(pairs, texts, k, percent))
-    first = cut(components(links))
-    again = nodes.drop("comp").join(near, "id", "left_semi").join(first.withColumnRenamed("node", "id"), "id", "left")
+    first = components(links).withColumnRenamed("node", "id")
+    again = nodes.drop("comp").join(near, "id", "left_semi").join(first, "id", "left")
     again = cut(again.withColumn("comp", F.coalesce("component", "id")).drop("component"))
-    more = _neighbours(_regions(again), percent, True).join(pairs, ["a", "b"], "left_anti")
-    links = links.union(cut(_confirmed(more, texts, k, percent)))
+    # Two nodes of equal base keys have met in that tree, unless it was read to longer prefixes there.
+    rows, deep = _regions(again.withColumn("base", F.slice("keys", 1, TREES)))
+    across = cut(_across(rows.withColumn("base", F.lit(None).cast("array<bigint>")) if deep else rows, percent))
+    more = across.where("b is not null").select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
+    many = across.where("b is null").select(F.col("a").alias("id"), *REGION, F.col("block").alias("b"))
+    base = F.lit(None).cast("array<bigint>") if deep else F.slice("keys", 1, TREES)
+    many = many.join(again.select("id", "n", "comp", "sketch", base.alias("base")), "id").join(texts, "id").select(*REGION, "b", "id", "n", "comp", "sketch", "base", "z")
+    links = links.union(cut(_confirmed(more, texts, k, percent).union(_joined_there(many, k, percent))))
     # Rows of one id that have different texts hang together.
     several = of_doc.groupBy("id").agg(F.min("rep").alias("m"), F.max("rep").alias("x")).where("m < x")
     same = of_doc.join(several, "id").select(F.col("rep").alias("a"), F.col("m").alias("b"))

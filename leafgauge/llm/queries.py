@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import bpe, near_dups, token_counts
+from . import bpe, near_dups, substrings, token_counts
 from .common import read
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -13,6 +13,10 @@ PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 TOKEN_LIMIT = 4096
 
 
+def op4_substrings(spark, sf_dir):
+    return substrings.remove_repeats(read(spark, sf_dir, "documents"), window=13)
+
+
 def op6_bpe(spark, sf_dir):
     return bpe.digests(bpe.encode_decode(read(spark, sf_dir, "documents"), WORD_BPE))
 
@@ -26,5 +30,5 @@ def op9_token_counts(spark, sf_dir):
     return out.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
-QUERIES = {f.__name__: f for f in (op6_bpe, op7_near_dups, op9_token_counts)}
+QUERIES = {f.__name__: f for f in (op4_substrings, op6_bpe, op7_near_dups, op9_token_counts)}
 ORACLE_SQL: dict[str, str] = {}

@@ -263,7 +263,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> Data
 
     right = texts.select(F.col("id").alias("b"), F.col("z").alias("zb"))
     left = texts.select(F.col("id").alias("a"), F.col("z").alias("za"))
-    joined = pairs.join(right, "b").join(left, "a").select("a", "b", "za", "zb")
+    joined = pairs.join(right.hint("merge"), "b").join(left.hint("merge"), "a").select("a", "b", "za", "zb")
     return joined.mapInArrow(work, "a bigint, b bigint").distinct()
 
 
@@ -294,8 +294,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     sets = cut(signatures(docs, k, id_col, text_col))
     full = sets.where("n > 0 and id is not null")
     least = full.groupBy("h1", "h2").agg(F.min("id").alias("rep"))
-    of_doc = cut(full.select("id", "n", "h1", "h2").join(least, ["h1", "h2"]).select("id", "n", "rep"))
-    nodes = full.join(least.select(F.col("rep").alias("id"), "h1", "h2"), ["id", "h1", "h2"], "left_semi").select("id", "n", "sketch", "keys")
+    of_doc = cut(full.select("id", "n", "h1", "h2").join(least.hint("merge"), ["h1", "h2"]).select("id", "n", "rep"))
+    nodes = full.join(least.select(F.col("rep").alias("id"), "h1", "h2").hint("merge"), ["id", "h1", "h2"], "left_semi").select("id", "n", "sketch", "keys")
     nodes = cut(nodes.withColumn("comp", F.col("id")))
 
     found = cut(_best(_regions(nodes)[0], percent))
@@ -304,21 +304,21 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     pairs = found.where("a < b")
     links = cut(_confirmed(pairs, texts, k, percent))
     first = components(links).withColumnRenamed("node", "id")
-    again = nodes.drop("comp").join(near, "id", "left_semi").join(first, "id", "left")
+    again = nodes.drop("comp").join(near.hint("merge"), "id", "left_semi").join(first.hint("merge"), "id", "left")
     again = cut(again.withColumn("comp", F.coalesce("component", "id")).drop("component"))
     # Two nodes of equal base keys have met in that tree, unless it was read to longer prefixes there.
     rows, deep = _regions(again.withColumn("base", F.slice("keys", 1, TREES)))
     across = cut(_across(rows.withColumn("base", F.lit(None).cast("array<bigint>")) if deep else rows, percent))
-    more = across.where("b is not null").select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
+    more = across.where("b is not null").select("a", "b").distinct().join(pairs.hint("merge"), ["a", "b"], "left_anti")
     many = across.where("b is null").select(F.col("a").alias("id"), *REGION, F.col("block").alias("b"))
     base = F.lit(None).cast("array<bigint>") if deep else F.slice("keys", 1, TREES)
-    many = many.join(again.select("id", "n", "comp", "sketch", base.alias("base")), "id").join(texts, "id").select(*REGION, "b", "id", "n", "comp", "sketch", "base", "z")
+    many = many.join(again.select("id", "n", "comp", "sketch", base.alias("base")).hint("merge"), "id").join(texts.hint("merge"), "id").select(*REGION, "b", "id", "n", "comp", "sketch", "base", "z")
     links = links.union(cut(_confirmed(more, texts, k, percent).union(_joined_there(many, k, percent))))
     # Rows of one id that have different texts hang together.
     several = of_doc.groupBy("id").agg(F.min("rep").alias("m"), F.max("rep").alias("x")).where("m < x")
     same = of_doc.join(several, "id").select(F.col("rep").alias("a"), F.col("m").alias("b"))
     whole = components(links.union(same)).withColumnRenamed("node", "rep")
-    linked = of_doc.join(whole, "rep", "left").select("id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
+    linked = of_doc.join(whole.hint("merge"), "rep", "left").select("id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
     rest = sets.where("n = 0 or id is null").select("id", F.col("n").alias("n_shingles"), F.col("id").alias("component_id"))
     out = linked.union(rest)
     return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))

@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import ship
+
 #: Rows that a Python worker holds at once, and characters after which a batch is handed on.
 ROWS, CHARS = 1000, 4_000_000
 
 
 def small_batches(df: DataFrame) -> DataFrame:
     """Let Spark hand Python workers at most ROWS rows at once."""
+    ship(df.sparkSession)
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS))
     return df
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,6 +23,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir().get()
 
 
+def ship(spark: SparkSession) -> None:
+    """Hand this package to the executors, once for each application; they need not have it installed."""
+    context = spark.sparkContext
+    if getattr(context, "_leafgauge_shipped", False):
+        return
+    top = Path(__file__).resolve().parents[1]
+    place = Path(tempfile.mkdtemp(prefix="package-"), f"{top.name}.zip")
+    with zipfile.ZipFile(place, "w") as z:
+        for p in sorted(top.rglob("*.py")):
+            z.write(p, p.relative_to(top.parent))
+    context.addPyFile(str(place))
+    context._leafgauge_shipped = True
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Compute df once into the shared checkpoint folder; later reads survive lost executors and repeat no work."""
     ensure_checkpoint_dir(df.sparkSession)
@@ -33,5 +49,6 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Deal out by keys into as many partitions as the session asks for."""
+    ship(df.sparkSession)
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(n, *keys)

@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .arrow import small_batches
 from .common import cut, spread
 from .components import components
 
@@ -69,7 +70,7 @@ def signatures(docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame
             kinds = {"n": pa.int64(), "h1": pa.int64(), "h2": pa.int64(), "sketch": pa.binary(), "keys": pa.list_(pa.int64())}
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(v, kinds[c]) for c, v in rows.items())], ["id", *rows])
 
-    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    small_batches(docs)
     return docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("t")).mapInArrow(work, "id bigint, n bigint, h1 bigint, h2 bigint, sketch binary, keys array<bigint>")
 
 

@@ -5,7 +5,7 @@
 2. Confirmation: windows whose least hash recurs are grouped by their own hash; the smallest id in which
    one starts owns it, and every other text that has it is to be read against the owner.
 3. Automata: owners are dealt into shards of bounded length. A shard's task compiles one Aho-Corasick automaton of
-   its owners' recurring windows and streams through it, whole, every text that is to be read against them.
+   its owners' recurring passages and streams through it, whole, every text that is to be read against them.
    A shard that many texts need is compiled in several tasks, each of which gets a part of the texts.
 4. The places found are removed from the texts.
 
@@ -17,43 +17,66 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .arrow import small_batches
 from .common import cut, spread
 
 #: Words of the runs whose least hash stands for a window.
 RUN = 6
 #: Words of owners per automaton, and characters streamed through one in a task.
-SHARD_WORDS, STREAM_CHARS = 60_000, 12_000_000
+SHARD_WORDS, STREAM_CHARS = 250_000, 24_000_000
 
 
-def _least(w, window: int):
-    """Least hash of the runs of each window of words; empty if there are fewer words."""
-    import numpy as np
+class _Batch:
+    """Word hashes of a batch of texts in one array, and for each window start inside a text its text's place."""
 
-    from .shingles import grams
+    def __init__(self, texts: list, window: int):
+        import numpy as np
+
+        from .shingles import word_hashes
+
+        self.window = window
+        sizes = np.array([len(w) for w in texts], np.int64)
+        self.words = word_hashes([x for w in texts for x in w])
+        n = max(0, len(self.words) - window + 1)
+        self.of = np.repeat(np.arange(len(texts)), sizes)[:n]
+        last = np.repeat(np.cumsum(sizes), sizes)[:n]
+        self.inside = np.arange(n) + window <= last
+
+    def least(self):
+        """Least hash of the runs in each window."""
+        import numpy as np
+
+        from .shingles import grams
+
+        run = min(RUN, self.window)
+        h, span, have = grams(self.words, run), self.window - run + 1, 1
+        while have < span:  # minima of ever longer stretches
+            step = min(have, span - have)
+            h, have = np.minimum(h[: len(h) - step], h[step:]), have + step
+        return h if len(self.inside) else np.empty(0, np.uint64)
+
+    def hashes(self):
+        from .shingles import grams
 
-    run = min(RUN, window)
-    h, span = grams(w, run), window - run + 1
-    if len(h) < span:
-        return np.empty(0, np.uint64)
-    return np.lib.stride_tricks.sliding_window_view(h, span).min(axis=1)
+        return grams(self.words, self.window)
 
 
 def _scan(texts: DataFrame, window: int) -> DataFrame:
-    """Rows (h, id): the distinct least hashes of each text's windows."""
+    """Rows (h, id): the least hashes of each text's windows, once for each stretch of windows."""
 
     def work(batches):
         import numpy as np
         import pyarrow as pa
 
-        from .shingles import word_hashes, words_of
+        from .shingles import words_of
 
         for batch in batches:
-            hs, ids = [], []
-            for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                h = np.unique(_least(word_hashes(words_of(t, False)), window))
-                hs.append(h.view(np.int64))
-                ids.append(np.full(len(h), i, np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs) if hs else np.empty(0, np.int64)), pa.array(np.concatenate(ids) if ids else np.empty(0, np.int64))], ["h", "id"])
+            b = _Batch([words_of(t, False) for t in batch.column(1).to_pylist()], window)
+            h = b.least()
+            new = np.ones(len(h), bool)
+            new[1:] = (h[1:] != h[:-1]) | (b.of[1:] != b.of[:-1])
+            keep = new & b.inside
+            yield pa.RecordBatch.from_arrays([pa.array(h[keep].view(np.int64)), batch.column(0).take(pa.array(b.of[keep]))], ["h", "id"])
 
     return texts.mapInArrow(work, "h bigint, id bigint")
 
@@ -65,26 +88,54 @@ def _windows(found: DataFrame, window: int) -> DataFrame:
         import numpy as np
         import pyarrow as pa
 
-        from .shingles import grams, unpack, word_hashes
+        from .shingles import unpack
 
         for batch in batches:
-            hs, ids = [], []
-            for i, z, keep in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
-                w = word_hashes(unpack(z).split())
-                h = grams(w, window)[np.isin(_least(w, window), np.array(keep, np.int64).view(np.uint64))]
-                h = np.unique(h)
-                hs.append(h.view(np.int64))
-                ids.append(np.full(len(h), i, np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs) if hs else np.empty(0, np.int64)), pa.array(np.concatenate(ids) if ids else np.empty(0, np.int64))], ["h", "id"])
+            b = _Batch([unpack(z).split() for z in batch.column(1).to_pylist()], window)
+            keep = b.inside & np.isin(b.least(), batch.column(2).flatten().to_numpy().view(np.uint64))
+            yield pa.RecordBatch.from_arrays([pa.array(b.hashes()[keep].view(np.int64)), batch.column(0).take(pa.array(b.of[keep]))], ["h", "id"])
 
     return found.select("id", "z", "recur").mapInArrow(work, "h bigint, id bigint")
 
 
-def _recurring(rows: DataFrame, *and_least: str) -> DataFrame:
-    """Rows (h, id) whose h has several ids; and_least: with the smallest of them as owner."""
-    rows = spread(rows, "h")  # one shuffle, which minima and join share
-    ends = rows.groupBy("h").agg(F.min("id").alias("owner"), F.max("id").alias("top")).where("owner < top").drop("top")
-    return rows.join(ends, "h").select("h", "id", *and_least)
+def _recurring(rows: DataFrame, owners: bool) -> DataFrame:
+    """Of rows (h, id), those whose h has several ids; owners: also the owner, null for rows that are the owner's own.
+
+    Each h then has one row without an owner, that of its smallest id, and rows (id, owner) without h above it.
+
+    Each partition is read in order of (h, id), so nothing is held but the last row.
+    """
+
+    def work(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        h0, own0, id0 = None, None, None
+        for batch in batches:
+            h, i = (batch.column(c).to_numpy() for c in range(2))
+            if not len(h):
+                continue
+            new = np.ones(len(h), bool)
+            new[1:] = h[1:] != h[:-1]
+            new[0] = h0 is None or h[0] != h0
+            start = np.maximum.accumulate(np.where(new, np.arange(len(h)), -1))
+            owner = np.where(start >= 0, i[start], i[0] if own0 is None else own0)
+            other = i != owner
+            before = np.empty(len(h), np.int64)
+            before[1:] = i[:-1]
+            before[0] = i[0] if id0 is None else id0
+            first = other & ~new & (before == owner)
+            h0, own0, id0 = h[-1], owner[-1], i[-1]
+            if owners:
+                both = np.unique(np.stack([i[other], owner[other]]), axis=1)
+                mine = pa.array(owner[first])
+                ids = pa.concat_arrays([pa.array(both[0]), mine])
+                yield pa.RecordBatch.from_arrays([pa.concat_arrays([pa.nulls(both.shape[1], pa.int64()), pa.array(h[first])]), ids, pa.concat_arrays([pa.array(both[1]), pa.nulls(len(mine), pa.int64())])], ["h", "id", "owner"])
+            else:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([h[other], h[first]])), pa.array(np.concatenate([i[other], owner[first]]))], ["h", "id"])
+
+    small_batches(rows)
+    return spread(rows, "h").sortWithinPartitions("h", "id").mapInArrow(work, "h bigint, id bigint" + ", owner bigint" * owners)
 
 
 def _packed(texts: DataFrame) -> DataFrame:
@@ -100,32 +151,84 @@ def _packed(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(work, "id bigint, key bigint, z binary")
 
 
+class _Automaton:
+    """Aho-Corasick automaton over words, of every block of half a window's words in the recurring passages of owners.
+
+    Any window inside a passage holds a whole block, so each occurrence of a window is met at a block and is then
+    followed to both sides as far as the words agree.
+    """
+
+    def __init__(self, owners: list, window: int):
+        import ahocorasick
+
+        self.window, self.block = window, (window + 1) // 2
+        self.ids: dict = {}
+        self.owners = []
+        places: dict = {}
+        for owner, words, runs in sorted(owners, key=lambda o: o[0]):
+            seq = tuple(self.ids.setdefault(w, len(self.ids) + 1) for w in words)
+            for a, b in runs:
+                for k in range(a, b - self.block + 1, self.block):
+                    places.setdefault(seq[k : k + self.block], []).append((len(self.owners), k))
+            self.owners.append((owner, seq))
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+        for block, where in places.items():
+            self.automaton.add_word(block, where)
+        self.automaton.make_automaton()
+
+    def places(self, i: int, words: list) -> list:
+        """Half-open ranges of words of text i that lie in windows of owners with smaller ids."""
+        if not len(self.automaton):
+            return []
+        seq = tuple(map(self.ids.get, words, [0] * len(words)))
+        n, reach, out = len(seq), {}, []
+        for end, where in self.automaton.iter(seq):
+            at = end + 1 - self.block
+            for o, k in where:
+                owner, own = self.owners[o]
+                if owner >= i:
+                    break
+                if reach.get((o, at - k), -1) > end:
+                    continue
+                b, c = end + 1, k + self.block
+                while seq[b : b + 16] == own[c : c + 16] and b < n and c < len(own):
+                    b, c = b + 16, c + 16
+                b, c = min(b, n, b - c + len(own)), min(c, len(own), c - b + n)
+                while b < n and c < len(own) and seq[b] == own[c]:
+                    b, c = b + 1, c + 1
+                a, c = at, k
+                while a and c and seq[a - 1] == own[c - 1]:
+                    a, c = a - 1, c - 1
+                reach[o, at - k] = b
+                if b - a >= self.window:
+                    out.append((a, b))
+        merged: list = []
+        for a, b in sorted(out):
+            if merged and a <= merged[-1][1]:
+                merged[-1] = (merged[-1][0], max(b, merged[-1][1]))
+            else:
+                merged.append((a, b))
+        return merged
+
+
 def _streamed(rows: DataFrame, window: int) -> DataFrame:
     """Rows (id, key, starts, ends): the places in each text of windows that start in a text with a smaller id.
 
-    rows: (shard, part, kind, id, key, z, recur), kind 0 owners and 1 the texts to read.
+    rows: (shard, part, kind, id, key, z, own), kind 0 owners with hashes of the windows they own and 1 the texts to read.
     """
 
     def work(batches):
-        import ahocorasick
         import numpy as np
         import pyarrow as pa
 
-        from .shingles import unpack, word_hashes
+        from .shingles import unpack
 
-        at, state, out = None, {}, []
+        at, owners, automaton, out = None, [], None, []
 
-        def compiled():
-            ids, automaton = {}, ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-            # Ascending ids: the first owner of a phrase keeps it.
-            for owner, words, starts in state["owners"]:
-                seq = tuple(ids.setdefault(w, len(ids) + 1) for w in words)
-                for k in starts:
-                    phrase = seq[k : k + window]
-                    if phrase not in automaton:
-                        automaton.add_word(phrase, owner)
-            automaton.make_automaton()
-            state.update(ids=ids, automaton=automaton, owners=None)
+        def runs(words, own):
+            k = np.flatnonzero(np.isin(_Batch([words], window).hashes(), np.array(own, np.int64).view(np.uint64)))
+            cuts = np.flatnonzero(np.diff(k) > 1)
+            return [(int(x), int(y) + window) for x, y in zip(k[[0, *(cuts + 1)]], k[[*cuts, -1]], strict=True)] if len(k) else []
 
         def handed():
             columns = list(zip(*out, strict=True)) or [()] * 4
@@ -133,29 +236,17 @@ def _streamed(rows: DataFrame, window: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns[:2]), *(pa.array(c, pa.list_(pa.int32())) for c in columns[2:])], ["id", "key", "starts", "ends"])
 
         for batch in batches:
-            for shard, part, kind, i, k, z, recur in zip(*(batch.column(c).to_pylist() for c in range(7)), strict=True):
+            for shard, part, kind, i, key, z, own in zip(*(batch.column(c).to_pylist() for c in range(7)), strict=True):
                 if (shard, part) != at:
-                    at, state = (shard, part), {"owners": []}
+                    at, owners, automaton = (shard, part), [], None
                 words = unpack(z).split()
                 if kind == 0:
-                    ok = np.isin(_least(word_hashes(words), window), np.array(recur, np.int64).view(np.uint64))
-                    state["owners"].append((i, words, np.flatnonzero(ok).tolist()))
-                    continue
-                if "automaton" not in state:
-                    compiled()
-                if not len(state["automaton"]):
+                    owners.append((i, words, runs(words, own)))
                     continue
-                ids = state["ids"]
-                starts, ends = [], []
-                for end, owner in state["automaton"].iter(tuple(ids.get(w, 0) for w in words)):
-                    if owner < i:
-                        if starts and ends[-1] >= end + 1 - window:
-                            ends[-1] = end + 1
-                        else:
-                            starts.append(end + 1 - window)
-                            ends.append(end + 1)
-                if starts:
-                    out.append((i, k, starts, ends))
+                if automaton is None:
+                    automaton, owners = _Automaton(owners, window), []
+                if found := automaton.places(i, words):
+                    out.append((i, key, [x[0] for x in found], [x[1] for x in found]))
                 if len(out) > 2000:
                     yield handed()
         yield handed()
@@ -170,12 +261,14 @@ def repeated_spans(docs: DataFrame, window: int = 13, id_col: str = "doc_id", te
     key: a hash of the text, so that rows of equal ids and different texts stay apart. spans: sorted half-open word ranges.
     """
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("t"), F.xxhash64(text_col).alias("key")).where("id is not null")
-    texts.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-    recur = _recurring(_scan(texts, window)).groupBy("id").agg(F.collect_list("h").alias("recur"))
+    small_batches(texts)
+    recur = _recurring(_scan(texts, window), False).groupBy("id").agg(F.collect_list("h").alias("recur"))
     found = _packed(texts).join(recur.hint("merge"), "id").dropDuplicates(["id", "key"])
     found = cut(found.withColumn("chars", F.length("z")))
-    owned = cut(_recurring(_windows(found, window), "owner").where("id > owner").select("id", "owner").distinct())
-    owners = cut(owned.select(F.col("owner").alias("id")).distinct()).join(found, "id")
+    of = _recurring(_windows(found, window), True).groupBy("id").agg(F.collect_list("h").alias("own"), F.collect_set("owner").alias("reads"))
+    of = cut(of)
+    owned = of.select("id", F.explode("reads").alias("owner"))
+    owners = of.where("size(own) > 0").select("id", "own").join(found.drop("recur"), "id")
     held = owners.agg(F.coalesce(F.sum("chars"), F.lit(0))).first()[0]
     shards = max(1, round(held / 3 / SHARD_WORDS))  # about 3 compressed characters are a word
     owners = owners.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int"))
@@ -183,8 +276,8 @@ def repeated_spans(docs: DataFrame, window: int = 13, id_col: str = "doc_id", te
     parts = needs.join(found.select("id", "chars"), "id").groupBy("shard").agg(F.ceil(F.sum("chars") / (STREAM_CHARS / 3)).cast("int").alias("parts"))
     parts = cut(parts)
     reads = needs.join(parts, "shard").join(found.drop("recur"), "id")
-    reads = reads.select("shard", F.pmod(F.xxhash64("id", "shard"), "parts").cast("int").alias("part"), F.lit(1).alias("kind"), "id", "key", "z", F.lit(None).cast("array<bigint>").alias("recur"))
-    owners = owners.join(parts, "shard").select("shard", F.explode(F.expr("sequence(0, parts - 1)")).alias("part"), F.lit(0).alias("kind"), "id", "key", "z", "recur")
+    reads = reads.select("shard", F.pmod(F.xxhash64("id", "shard"), "parts").cast("int").alias("part"), F.lit(1).alias("kind"), "id", "key", "z", F.lit(None).cast("array<bigint>").alias("own"))
+    owners = owners.join(parts, "shard").select("shard", F.explode(F.expr("sequence(0, parts - 1)")).alias("part"), F.lit(0).alias("kind"), "id", "key", "z", "own")
     spans = _streamed(owners.union(reads), window)
     spans = spans.select("id", "key", F.explode(F.arrays_zip("starts", "ends")).alias("s")).groupBy("id", "key").agg(F.array_sort(F.collect_list("s")).alias("spans"))
     return spans, found.select("id", "key", "z")

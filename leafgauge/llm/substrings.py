@@ -162,44 +162,61 @@ class _Automaton:
         import ahocorasick
 
         self.window, self.block = window, (window + 1) // 2
+        #: Each distinct word is one character, so that phrases are strings; U+0000 is any other word.
         self.ids: dict = {}
         self.owners = []
         places: dict = {}
         for owner, words, runs in sorted(owners, key=lambda o: o[0]):
-            seq = tuple(self.ids.setdefault(w, len(self.ids) + 1) for w in words)
+            seq = self._spelt(words, True)
             for a, b in runs:
                 for k in range(a, b - self.block + 1, self.block):
-                    places.setdefault(seq[k : k + self.block], []).append((len(self.owners), k))
+                    places.setdefault(seq[k : k + self.block], []).append((len(self.owners), k, a, b))
             self.owners.append((owner, seq))
-        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+        self.automaton = ahocorasick.Automaton()
         for block, where in places.items():
             self.automaton.add_word(block, where)
         self.automaton.make_automaton()
 
+    def _spelt(self, words: list, new: bool) -> str:
+        ids = self.ids
+        if new:
+            for w in words:
+                if w not in ids:
+                    k = len(ids) + 1
+                    ids[w] = chr(k if k < 0xD800 else k + 0x800)
+        return "".join([ids.get(w, "\0") for w in words])
+
     def places(self, i: int, words: list) -> list:
         """Half-open ranges of words of text i that lie in windows of owners with smaller ids."""
         if not len(self.automaton):
             return []
-        seq = tuple(map(self.ids.get, words, [0] * len(words)))
+        seq = self._spelt(words, False)
         n, reach, out = len(seq), {}, []
         for end, where in self.automaton.iter(seq):
             at = end + 1 - self.block
-            for o, k in where:
+            for o, k, low, high in where:
                 owner, own = self.owners[o]
                 if owner >= i:
                     break
-                if reach.get((o, at - k), -1) > end:
+                if reach.get((o, at - k, low), -1) > end:
                     continue
-                b, c = end + 1, k + self.block
-                while seq[b : b + 16] == own[c : c + 16] and b < n and c < len(own):
-                    b, c = b + 16, c + 16
-                b, c = min(b, n, b - c + len(own)), min(c, len(own), c - b + n)
-                while b < n and c < len(own) and seq[b] == own[c]:
-                    b, c = b + 1, c + 1
-                a, c = at, k
-                while a and c and seq[a - 1] == own[c - 1]:
-                    a, c = a - 1, c - 1
-                reach[o, at - k] = b
+                b, c, step = end + 1, k + self.block, 64
+                most = b + min(n - b, high - c)
+                while step and b < most:
+                    if seq[b : b + step] == own[c : c + step]:
+                        b, c = b + step, c + step
+                    else:
+                        step //= 2
+                b = min(b, most)
+                reach[o, at - k, low] = b
+                a, c, step = at, k, 64
+                least = a - min(a, k - low)
+                while step and a > least:
+                    if a >= step <= c and seq[a - step : a] == own[c - step : c]:
+                        a, c = a - step, c - step
+                    else:
+                        step //= 2
+                a = max(a, least)
                 if b - a >= self.window:
                     out.append((a, b))
         merged: list = []

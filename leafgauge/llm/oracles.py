@@ -9,7 +9,7 @@ SPACE = "[^\\x20\\x09-\\x0D]+"
 LOWERED = "translate(coalesce(text,''),'ABCDEFGHIJKLMNOPQRSTUVWXYZ','abcdefghijklmnopqrstuvwxyz')"
 
 _base = "\nunion all\n".join(
-    f"select d.doc_id, '{label}' as label, (i - 1)::bigint as at from d, unnest(generate_series(1, len(w))) as u(i) where " + " and ".join(f"w[i + {j}] = '{x}'" for j, x in enumerate(phrase.split()))
+    f"select d.doc_id, '{label}' as label, (i - 1)::bigint as pos from d, unnest(generate_series(1, len(w))) as u(i) where " + " and ".join(f"w[i + {j}] = '{x}'" for j, x in enumerate(phrase.split()))
     for phrase, label in BASE
 )
 _post = ", ".join(f"({t}, '{label}', {i}, '{w}', {str(must).lower()}, {n})" for t, label, i, w, must, n in _postings(TEMPLATES))
@@ -27,7 +27,7 @@ seen as (select s.doc_id, s.t, s.d, post.label, bool_and(hit.p is not null or no
   from spot s join post on post.t = s.t left join hit on hit.doc_id = s.doc_id and hit.p = s.d + post.i and hit.word = post.word group by 1, 2, 3, 4),
 found as (select doc_id, label, cover from seen where sure and cover >= {COVER}),
 base as ({_base}),
-b as (select doc_id, count(*) as n_base, min(at) as first_word, max(at) as last_word, string_agg(distinct label, ',' order by label) as base_labels from base group by 1),
+b as (select doc_id, count(*) as n_base, min(pos) as first_word, max(pos) as last_word, string_agg(distinct label, ',' order by label) as base_labels from base group by 1),
 l as (select doc_id, string_agg(distinct label, ',' order by label) as labels from (select doc_id, label from base union select doc_id, label from found) group by 1),
 c as (select doc_id, max(cover) as cover from found group by 1)
 select d.doc_id, len(w)::bigint as n_words, coalesce(n_base, 0)::bigint as n_base, first_word, last_word, coalesce(base_labels, '') as base_labels,

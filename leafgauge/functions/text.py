@@ -6,6 +6,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StringType
 
 # Ligatures and what they stand for; invisible characters; quotes and blanks folded for comparison.
 LIGATURES = {"ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬅ": "st", "ﬆ": "st"}
@@ -15,7 +16,7 @@ BULLETS = "●•◦▪‣○"
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def _nfc(s: pd.Series) -> pd.Series:
     import unicodedata
 

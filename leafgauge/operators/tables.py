@@ -27,9 +27,8 @@ def numeric_rows(cells: DataFrame, by: list[str]) -> DataFrame:
 
 def seams(cells: DataFrame, by: list[str]) -> DataFrame:
     """Cells that end without a full stop above one that begins with a small letter: a row torn in two."""
-    below = F.lead("cell").over(Window.partitionBy(*by, "col").orderBy("row"))
-    torn = (F.col("cell") != "") & ~F.col("cell").rlike(r"[.!?:”\"’]$") & below.rlike("^[a-z]")
-    return cells.withColumn("below", below).where(torn)
+    cells = cells.withColumn("below", F.lead("cell").over(Window.partitionBy(*by, "col").orderBy("row")))
+    return cells.where((F.col("cell") != "") & ~F.col("cell").rlike("[.!?:”\"’]$") & F.col("below").rlike("^[a-z]"))
 
 
 def merge_continuations(cells: DataFrame, by: list[str]) -> DataFrame:

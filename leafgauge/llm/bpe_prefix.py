@@ -22,7 +22,7 @@ import ahocorasick
 import regex
 
 #: Words kept in a worker's cache; beyond that it starts afresh. It bounds memory, never results.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
 FOREVER = 1 << 60
 
 
@@ -82,7 +82,7 @@ class PrefixTable:
         """Whether a and b may stand side by side."""
         got = self.pairs.get((a, b))
         if got is None:
-            if len(self.pairs) > 2_000_000:
+            if len(self.pairs) > 200_000:
                 self.pairs.clear()
             got = self.pairs[a, b] = not self._meets(a, b)
         return got

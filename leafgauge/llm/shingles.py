@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 import zstandard
 
-WORDS_KEPT = 500_000
+WORDS_KEPT = 150_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 

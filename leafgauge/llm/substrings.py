@@ -243,7 +243,9 @@ def _streamed(rows: DataFrame, window: int) -> DataFrame:
         at, owners, automaton, out = None, [], None, []
 
         def runs(words, own):
-            k = np.flatnonzero(np.isin(_Batch([words], window).hashes(), np.array(own, np.int64).view(np.uint64)))
+            # Of a window that recurs inside its owner the first place is enough.
+            h, k = np.unique(_Batch([words], window).hashes(), return_index=True)
+            k = np.sort(k[np.isin(h, np.array(own, np.int64).view(np.uint64))])
             cuts = np.flatnonzero(np.diff(k) > 1)
             return [(int(x), int(y) + window) for x, y in zip(k[[0, *(cuts + 1)]], k[[*cuts, -1]], strict=True)] if len(k) else []
 

@@ -38,6 +38,21 @@ def compare_counts(source: DataFrame, output: DataFrame, by: list[str], page: st
     return both.where("n_src <> n_out").select(*keys, "n_src", "n_out", F.when(F.col("a") == F.col("b"), "minor").otherwise("major").alias("severity"))
 
 
+def window_deficit(source: DataFrame, output: DataFrame, keys: list[str], page: str) -> DataFrame:
+    """Rows (*keys, page, n_src, n_out): what a page shows too seldom, and the pages next to it don't make up for."""
+    at = [*keys, page]
+    both = source.groupBy(*at).agg(F.count("*").alias("n_src")).join(output.groupBy(*at).agg(F.count("*").alias("n_out")), at, "full").na.fill(0, ["n_src", "n_out"])
+    both = both.withColumn("a", near_sum(F.col("n_src"), page, keys)).withColumn("b", near_sum(F.col("n_out"), page, keys))
+    return both.where("n_out < n_src and b < a").drop("a", "b")
+
+
+def footnote_flags(refs: DataFrame, defs: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows (*keys, kind): references without a definition, definitions without a reference, and those made twice."""
+    several = defs.groupBy(*keys).count().where("count > 1").select(*keys, F.lit("twice").alias("kind"))
+    lost = missing(refs, defs, keys).withColumn("kind", F.lit("undefined"))
+    return lost.unionByName(missing(defs, refs, keys).withColumn("kind", F.lit("unused"))).unionByName(several)
+
+
 def severity(n: Column, at_least: int = 3) -> Column:
     return F.when(n >= at_least, "major").otherwise("minor")
 

@@ -35,6 +35,26 @@ def as_of(facts: DataFrame, marks: DataFrame, by: list[str], at: str, value: str
     return both.withColumn(value, last_known(F.col("_mark"), by, [at, "_kind"])).where("_kind = 1").drop("_mark", "_kind")
 
 
+def heading_of(dests: DataFrame, heads: DataFrame, by: list[str], below: float = 8) -> DataFrame:
+    """dests (by, page, y, ...) with head: the last heading (by, page, y, head) of the page at most `below` under y.
+
+    Failing that the first of the page; on a page without any, the last of the pages before. One union and two windows.
+    """
+    d = dests.withColumn("_y", F.col("y") + below).withColumn("_kind", F.lit(1)).withColumn("_h", F.lit(None).cast(f"struct<page:{heads.schema['page'].dataType.simpleString()},head:{heads.schema['head'].dataType.simpleString()}>"))
+    h = heads.select(*by, "page", F.col("y").cast(d.schema["_y"].dataType).alias("_y"), F.struct("page", "head").alias("_h")).withColumn("_kind", F.lit(0))
+    both = d.unionByName(h, allowMissingColumns=True)
+    first = F.min_by("_h", F.when(F.col("_h").isNotNull(), F.struct("_y", "_h.head"))).over(Window.partitionBy(*by, "page"))
+    both = both.withColumn("_last", last_known(F.col("_h"), by, ["page", "_y", "_kind", "_h.head"])).withColumn("_first", first).where("_kind = 1")
+    head = F.when(F.col("_last.page") == F.col("page"), F.col("_last.head")).otherwise(F.coalesce("_first.head", "_last.head"))
+    return both.withColumn("head", head).drop("_y", "_kind", "_h", "_last", "_first")
+
+
+def most_common(df: DataFrame, by: list[str], value: str, order: str) -> DataFrame:
+    """Rows (by, value, n): the commonest value, of equally common ones that which came first."""
+    n = df.groupBy(*by, value).agg(F.count("*").alias("n"), F.min(order).alias("_first"))
+    return n.groupBy(*by).agg(F.max_by(F.struct(value, "n"), F.struct("n", -F.col("_first"))).alias("m")).select(*by, "m.*")
+
+
 def tiers(values: Column, gap: float = 4) -> Column:
     """Of a sorted array, the values that start a tier: more than gap above the start of the tier before."""
     none = F.array().cast("array<double>")

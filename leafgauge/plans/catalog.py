@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import bags, geometry, islands, tables
+from ..operators import bags, facts, geometry, islands, tables
 
 QUERIES, SQL = {}, {}
 
@@ -347,3 +347,124 @@ def stitched(spark, sf_dir):
 @query("""select user_id, list(value order by value)[len(list(value)) // 2 + 1] as upper_median from events group by 1""")
 def upper_median(spark, sf_dir):
     return table(spark, sf_dir, "events").groupBy("user_id").agg(F.sort_array(F.collect_list("value")).alias("v")).select("user_id", F.element_at("v", (F.floor(F.size("v") / 2) + 1).cast("int")).alias("upper_median"))
+
+
+@query("""select page_id, len(regexp_extract_all(html, '<p[ >]'))::int as p, len(regexp_extract_all(html, '<li[ >]'))::int as li, len(regexp_extract_all(html, '<a '))::int as a from pages""")
+def html_tag_counts(spark, sf_dir):
+    count = lambda pattern: F.regexp_count("html", F.lit(pattern))
+    return table(spark, sf_dir, "pages").select("page_id", count("<p[ >]").alias("p"), count("<li[ >]").alias("li"), count("<a ").alias("a"))
+
+
+@query("""with c as (select *, case when role is not distinct from lag(role) over w and row_number() over w > 1 then 0 else 1 end as c from conversations window w as (partition by conv_id order by turn)),
+i as (select *, sum(c) over (partition by conv_id order by turn)::bigint as island from c) select conv_id, island, min(role) as role, min(turn) as first_turn, string_agg(text, chr(10) order by turn) as text from i group by 1, 2""")
+def turn_islands(spark, sf_dir):
+    c = islands.runs(table(spark, sf_dir, "conversations"), ["conv_id"], ["turn"], "role")
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: x["text"]), "\n")
+    return c.groupBy("conv_id", "island").agg(F.min("role").alias("role"), F.min("turn").alias("first_turn"), text.alias("text"))
+
+
+@query("""with l as (select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) - 1 as i from documents)
+select doc_id, (i // 3 + 1)::int as page, string_agg(line, '' order by i) as slice from l group by 1, 2 having string_agg(line, '') <> ''""")
+def page_slices(spark, sf_dir):
+    marked = F.transform(F.split("text", "\n"), lambda x, i: F.when(i % 3 == 0, F.concat(F.lit("<!-- p."), F.floor(i / 3) + 1, F.lit(" -->"), x)).otherwise(x))
+    return facts.page_slices(table(spark, sf_dir, "documents").select("doc_id", F.array_join(marked, "").alias("md")), "md").drop("ord")
+
+
+_lines = "select doc_id, i, case when i % 4 = 1 then '' when i % 5 = 4 then line else '> ' || line end as line from (select doc_id, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) - 1 as i from documents)"
+
+
+@query(f"""with l as ({_lines}), q as (select *, case when line <> '' then line[1] = '>' end as q from l),
+n as (select *, last_value(q ignore nulls) over (partition by doc_id order by i rows between unbounded preceding and 1 preceding) as b, first_value(q ignore nulls) over (partition by doc_id order by i rows between 1 following and unbounded following) as a from q)
+select doc_id, i::int as i, case when line = '' and a and b then '>' else line end as line from n""")
+def quote_join(spark, sf_dir):
+    l = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("i", "line"))
+    l = l.withColumn("line", F.when(F.col("i") % 4 == 1, "").when(F.col("i") % 5 == 4, F.col("line")).otherwise(F.concat(F.lit("> "), "line")))
+    return facts.quote_gaps(l, ["doc_id"], "i", "line")
+
+
+@query("""with s as (select l_orderkey % 10 as grp, l_orderkey // 40 as page, l_suppkey % 400 as y, l_orderkey * 10 + l_linenumber as id, l_linenumber as k, l_partkey from lineitem),
+h as (select * from s where k = 1 and l_partkey % 7 = 0), d as (select * from s where k = 2),
+a as (select d.id, arg_max(h.id, h.y * 10000000000 + h.id) as v from d join h on d.grp = h.grp and d.page = h.page and h.y <= d.y + 8 group by 1),
+f as (select grp, page, arg_min(id, y * 10000000000 + id) as v from h group by 1, 2),
+p as (select d.id, arg_max(h.id, h.page::hugeint * 100000000000000 + h.y * 10000000000 + h.id) as v from d join h on d.grp = h.grp and h.page < d.page group by 1)
+select d.grp, d.id, coalesce(a.v, f.v, p.v) as head from d left join a using (id) left join f on d.grp = f.grp and d.page = f.page left join p on d.id = p.id""")
+def asof_heading(spark, sf_dir):
+    l = table(spark, sf_dir, "lineitem")
+    s = l.select((F.col("l_orderkey") % 10).alias("grp"), F.expr("l_orderkey div 40").alias("page"), (F.col("l_suppkey") % 400).cast("double").alias("y"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), F.col("l_linenumber").alias("k"), "l_partkey")
+    heads = s.where("k = 1 and l_partkey % 7 = 0").select("grp", "page", "y", F.col("id").alias("head"))
+    return islands.heading_of(s.where("k = 2").select("grp", "page", "y", "id"), heads, ["grp"]).select("grp", "id", "head")
+
+
+_mut = """w as (select doc_id, regexp_split_to_array(text, '\\s+') as w from documents), n as (select doc_id, w, doc_id % (len(w) - 1) as k from w where len(w) > 1),
+m as (select doc_id, w, ['swap', 'drop', 'double'][doc_id % 3 + 1] as kind, case doc_id % 3 when 0 then w[1:k] || [w[k + 2], w[k + 1]] || w[k + 3:] when 1 then w[1:k] || w[k + 6:] else w[1:k + 5] || w[k + 1:k + 5] || w[k + 6:] end as v from n)"""
+
+
+def mutated(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select("doc_id", F.split("text", r"\s+").alias("w")).where("size(w) > 1")
+    d = d.withColumn("k", F.expr("cast(doc_id % (size(w) - 1) as int)")).withColumn("kind", F.expr("element_at(array('swap', 'drop', 'double'), cast(doc_id % 3 + 1 as int))"))
+    w, k = F.col("w"), F.col("k")
+    return d.withColumn("v", F.when(F.col("kind") == "swap", facts.swapped(w, k)).when(F.col("kind") == "drop", facts.dropped(w, k, 5)).otherwise(facts.doubled(w, k, 5)))
+
+
+@query(f"with {_mut} select doc_id, kind, len(v)::int as n, md5(array_to_string(v, ' ')) as h from m")
+def mutations(spark, sf_dir):
+    return mutated(spark, sf_dir).select("doc_id", "kind", F.size("v").alias("n"), F.md5(F.array_join("v", " ")).alias("h"))
+
+
+@query(f"with {_mut} select kind, count(*)::bigint as tried, sum((list_sort(w) <> list_sort(v))::int)::bigint as by_bag, sum((w <> v)::int)::bigint as by_order from m group by 1")
+def mutate_recall(spark, sf_dir):
+    """How many of the mutations of each kind a comparison of bags notices, and how many one of sequences."""
+    hit = lambda c: F.sum(F.when(c, 1).otherwise(0))
+    m = mutated(spark, sf_dir)
+    return m.groupBy("kind").agg(F.count("*").alias("tried"), hit(F.sort_array("w") != F.sort_array("v")).alias("by_bag"), hit(F.col("w") != F.col("v")).alias("by_order"))
+
+
+@query("""with l as (select l_returnflag as key, l_orderkey // 100 as page, l_linenumber as k from lineitem), s as (select key, page, count(*)::bigint as n_src from l group by 1, 2),
+o as (select key, page, count(*)::bigint as n_out from (select key, case when k = 7 then page + 1 else page end as page from l where k <> 6) group by 1, 2), b as (select key, page, coalesce(n_src, 0) as n_src, coalesce(n_out, 0) as n_out from s full join o using (key, page)),
+w as (select *, sum(n_src) over w as a, sum(n_out) over w as c from b window w as (partition by key order by page range between 1 preceding and 1 following)) select key, page, n_src, n_out from w where n_out < n_src and c < a""")
+def s2_chips(spark, sf_dir):
+    l = table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("key"), F.expr("l_orderkey div 100").alias("page"), F.col("l_linenumber").alias("k"))
+    out = l.where("k <> 6").withColumn("page", F.when(F.col("k") == 7, F.col("page") + 1).otherwise(F.col("page")))
+    return bags.window_deficit(l, out, ["key"], "page")
+
+
+@query("""with r as (select o_custkey % 50 as sec, o_orderkey % 97 as n from orders where o_orderstatus = 'O' and o_orderkey % 3 = 0), d as (select o_custkey % 50 as sec, o_orderkey % 97 as n from orders where o_orderstatus = 'F' and o_orderkey % 3 = 0)
+select distinct sec, n, 'undefined' as kind from r anti join d using (sec, n) union all select distinct sec, n, 'unused' from d anti join r using (sec, n) union all select sec, n, 'twice' from d group by 1, 2 having count(*) > 1""")
+def fn1_footnotes(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").where("o_orderkey % 3 = 0").select((F.col("o_custkey") % 50).alias("sec"), (F.col("o_orderkey") % 97).alias("n"), "o_orderstatus")
+    return bags.footnote_flags(o.where("o_orderstatus = 'O'").select("sec", "n"), o.where("o_orderstatus = 'F'").select("sec", "n"), ["sec", "n"])
+
+
+@query("""with s as (select l_partkey as key, l_orderkey // 100 as page, l_linenumber as k from lineitem), a as (select key, page as page_a, row_number() over (partition by key order by page) as k from s where k = 1), b as (select key, page as page_b, row_number() over (partition by key order by page) as k from s where k = 2)
+select key, k::int as k, page_a, page_b from a join b using (key, k) where abs(page_a - page_b) <= 2""")
+def displacements(spark, sf_dir):
+    s = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("key"), F.expr("l_orderkey div 100").alias("page"), F.col("l_linenumber").alias("k"))
+    return bags.pair_up(s.where("k = 1"), s.where("k = 2"), "key", "page")
+
+
+@query("""with n as (select user_id, event_type, count(*)::bigint as n, min(event_id) as f from events group by 1, 2) select user_id, event_type, n from n qualify row_number() over (partition by user_id order by n desc, f) = 1""")
+def modal_value(spark, sf_dir):
+    return islands.most_common(table(spark, sf_dir, "events"), ["user_id"], "event_type", "event_id")
+
+
+@query(f"with {_grid} select tid, count(distinct row)::bigint as n_rows from g group by 1 order by n_rows desc, tid limit 15")
+def topk_tables(spark, sf_dir):
+    g = tables.grid(order_tables(spark, sf_dir), "html").groupBy("tid").agg(F.countDistinct("row").alias("n_rows"))
+    return g.orderBy(F.desc("n_rows"), "tid").limit(15)
+
+
+_quoted = "'\"' || left(text, 20) || '\" it' || chr(39) || 's (' || chr(39) || 'x' || chr(39) || ') ' || chr(39) || '90s'"
+
+
+@query(f"""select doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace({_quoted}, '(^|[\\s(\\[{{=—–‘“>])"', '\\1“', 'g'), '"', '”', 'g'), chr(39) || '(\\d)', '’\\1', 'g'), '(^|[\\s(\\[{{=—–‘“>])' || chr(39), '\\1‘', 'g'), chr(39), '’', 'g') as q from documents""")
+def smart_quotes(spark, sf_dir):
+    q = F.concat(F.lit('"'), F.substring("text", 1, 20), F.lit("\" it's ('x') '90s"))
+    return table(spark, sf_dir, "documents").select("doc_id", T.smart_quotes(q).alias("q"))
+
+
+@query("""with p as (select p_partkey, p_name, p_brand, p_size from part) select p_partkey, 'link' as kind, p_name as fact from p union all select p_partkey, 'chip', p_brand from p union all select p_partkey, 'bold', p_name from p
+union all select p_partkey, 'fn_ref', p_size::varchar from p union all select p_partkey, 'image', p_partkey || '.png' from p""")
+def md_facts(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    line = F.concat(F.lit("see ["), "p_name", F.lit("](#a) :chip["), "p_brand", F.lit("] **"), "p_name", F.lit("** x[^"), F.col("p_size").cast("string"), F.lit("] ![f]("), F.col("p_partkey").cast("string"), F.lit(".png)"))
+    return facts.line_facts(p.select("p_partkey", line.alias("line")), "line")

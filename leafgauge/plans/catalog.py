@@ -384,10 +384,10 @@ def quote_join(spark, sf_dir):
 
 @query("""with s as (select l_orderkey % 10 as grp, l_orderkey // 40 as page, l_suppkey % 400 as y, l_orderkey * 10 + l_linenumber as id, l_linenumber as k, l_partkey from lineitem),
 h as (select * from s where k = 1 and l_partkey % 7 = 0), d as (select * from s where k = 2),
-a as (select d.id, arg_max(h.id, h.y * 10000000000 + h.id) as v from d join h on d.grp = h.grp and d.page = h.page and h.y <= d.y + 8 group by 1),
+a as (select d.grp, d.page, d.y, arg_max(h.id, h.y * 10000000000 + h.id) as v from d join h on d.grp = h.grp and d.page = h.page and h.y <= d.y + 8 group by 1, 2, 3),
 f as (select grp, page, arg_min(id, y * 10000000000 + id) as v from h group by 1, 2),
-p as (select d.id, arg_max(h.id, h.page::hugeint * 100000000000000 + h.y * 10000000000 + h.id) as v from d join h on d.grp = h.grp and h.page < d.page group by 1)
-select d.grp, d.id, coalesce(a.v, f.v, p.v) as head from d left join a using (id) left join f on d.grp = f.grp and d.page = f.page left join p on d.id = p.id""")
+p as (select d.grp, d.page, arg_max(h.id, h.page::hugeint * 100000000000000 + h.y * 10000000000 + h.id) as v from d join h on d.grp = h.grp and h.page < d.page group by 1, 2)
+select d.grp, d.id, coalesce(a.v, f.v, p.v) as head from d left join a on d.grp = a.grp and d.page = a.page and d.y = a.y left join f on d.grp = f.grp and d.page = f.page left join p on d.grp = p.grp and d.page = p.page""")
 def asof_heading(spark, sf_dir):
     l = table(spark, sf_dir, "lineitem")
     s = l.select((F.col("l_orderkey") % 10).alias("grp"), F.expr("l_orderkey div 40").alias("page"), (F.col("l_suppkey") % 400).cast("double").alias("y"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), F.col("l_linenumber").alias("k"), "l_partkey")

@@ -24,6 +24,8 @@ from .common import cut, spread
 RUN = 6
 #: Words of owners per automaton, and characters streamed through one in a task.
 SHARD_WORDS, STREAM_CHARS = 250_000, 24_000_000
+#: Letters that spell a word in an automaton.
+LETTERS = 3
 
 
 class _Batch:
@@ -151,6 +153,39 @@ def _packed(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(work, "id bigint, key bigint, z binary")
 
 
+class _Spelling(dict):
+    """Word -> its letters, for the words of the texts given; for any other word U+0000 in each place.
+
+    Letters are few, since an automaton's node looks through all that may follow, and those of a word's first,
+    second and third place differ, so that words are met as wholes.
+    """
+
+    def __init__(self, texts):
+        words = dict.fromkeys(w for words in texts for w in words)
+        base = 2
+        while base**LETTERS < len(words):
+            base += 1
+        super().__init__((w, "".join([chr(1 + d * base + k // base**d % base) for d in range(LETTERS)])) for k, w in enumerate(words))
+
+    def __missing__(self, word):
+        return "\0" * LETTERS
+
+    def __call__(self, words: list) -> str:
+        return "".join(map(self.__getitem__, words))
+
+
+def _agree(x: str, i: int, y: str, j: int, have: int, most: int) -> int:
+    """How many characters from x[i] and y[j] on agree, have at least and most at most."""
+    step = 8
+    while step and have < most:
+        s = min(step, most - have)
+        if x[i + have : i + have + s] == y[j + have : j + have + s]:
+            have, step = have + s, min(2 * step, 4096)
+        else:
+            step = s // 2
+    return have
+
+
 class _Automaton:
     """Aho-Corasick automaton over words, of every block of half a window's words in the recurring passages of owners.
 
@@ -161,64 +196,59 @@ class _Automaton:
     def __init__(self, owners: list, window: int):
         import ahocorasick
 
-        self.window, self.block = window, (window + 1) // 2
-        #: Each distinct word is one character, so that phrases are strings; U+0000 is any other word.
-        self.ids: dict = {}
-        self.owners = []
+        #: Lengths and places are of letters.
+        self.window, self.block = window * LETTERS, (window + 1) // 2 * LETTERS
+        self.spelt = _Spelling(words for _, words, _ in owners)
+        #: Of each passage the owner, the owner's spelt words, and the passage's place in them.
+        self.passages = []
         places: dict = {}
         for owner, words, runs in sorted(owners, key=lambda o: o[0]):
-            seq = self._spelt(words, True)
-            for a, b in runs:
+            seq = self.spelt(words)
+            for a, b in ((a * LETTERS, b * LETTERS) for a, b in runs):
                 for k in range(a, b - self.block + 1, self.block):
-                    places.setdefault(seq[k : k + self.block], []).append((len(self.owners), k, a, b))
-            self.owners.append((owner, seq))
+                    places.setdefault(seq[k : k + self.block], []).append((len(self.passages), k))
+                self.passages.append((owner, seq, a, b))
         self.automaton = ahocorasick.Automaton()
         for block, where in places.items():
             self.automaton.add_word(block, where)
         self.automaton.make_automaton()
 
-    def _spelt(self, words: list, new: bool) -> str:
-        ids = self.ids
-        if new:
-            for w in words:
-                if w not in ids:
-                    k = len(ids) + 1
-                    ids[w] = chr(k if k < 0xD800 else k + 0x800)
-        return "".join([ids.get(w, "\0") for w in words])
-
     def places(self, i: int, words: list) -> list:
         """Half-open ranges of words of text i that lie in windows of owners with smaller ids."""
         if not len(self.automaton):
             return []
-        seq = self._spelt(words, False)
-        n, reach, out = len(seq), {}, []
+        seq = self.spelt(words)
+        n, block, passages = len(seq), self.block, self.passages
+        lacks, reach, out = self.window - block, {}, []
         for end, where in self.automaton.iter(seq):
-            at = end + 1 - self.block
-            for o, k, low, high in where:
-                owner, own = self.owners[o]
+            e = end + 1
+            at = e - block
+            for p, k in where:
+                owner, own, low, high = passages[p]
                 if owner >= i:
                     break
-                if reach.get((o, at - k, low), -1) > end:
+                c, r = k + block, 0
+                # Most blocks agree by chance: the words that a window lacks are compared first.
+                most = min(n - e, high - c)
+                few = min(most, lacks)
+                while r < few and seq[e + r] == own[c + r]:
+                    r += 1
+                if r < lacks:
+                    r -= r % LETTERS
+                    x = lacks - r
+                    if k - x < low or at < x or seq[at - x : at] != own[k - x : k]:
+                        continue
+                if reach.get((p, at - k), -1) > end:
                     continue
-                b, c, step = end + 1, k + self.block, 64
-                most = b + min(n - b, high - c)
-                while step and b < most:
-                    if seq[b : b + step] == own[c : c + step]:
-                        b, c = b + step, c + step
-                    else:
-                        step //= 2
-                b = min(b, most)
-                reach[o, at - k, low] = b
-                a, c, step = at, k, 64
-                least = a - min(a, k - low)
-                while step and a > least:
-                    if a >= step <= c and seq[a - step : a] == own[c - step : c]:
-                        a, c = a - step, c - step
-                    else:
-                        step //= 2
-                a = max(a, least)
-                if b - a >= self.window:
-                    out.append((a, b))
+                if r == few < most:
+                    r = _agree(seq, e, own, c, r, most)
+                    r -= r % LETTERS
+                reach[p, at - k] = e + r
+                x, most = 0, min(at, k - low)
+                while x < most and seq[at - x - 1] == own[k - x - 1]:
+                    x += 1
+                x -= x % LETTERS
+                out.append(((at - x) // LETTERS, (e + r) // LETTERS))
         merged: list = []
         for a, b in sorted(out):
             if merged and a <= merged[-1][1]:

@@ -29,16 +29,15 @@ LETTERS = 3
 
 
 class _Batch:
-    """Word hashes of a batch of texts in one array, and for each window start inside a text its text's place."""
+    """Word hashes of a batch of raw texts in one array, and for each window start inside a text its text's place."""
 
     def __init__(self, texts: list, window: int):
         import numpy as np
 
-        from .shingles import word_hashes
+        from .shingles import hashed_words
 
         self.window = window
-        sizes = np.array([len(w) for w in texts], np.int64)
-        self.words = word_hashes([x for w in texts for x in w])
+        self.words, sizes = hashed_words(texts)
         n = max(0, len(self.words) - window + 1)
         self.of = np.repeat(np.arange(len(texts)), sizes)[:n]
         last = np.repeat(np.cumsum(sizes), sizes)[:n]
@@ -70,10 +69,8 @@ def _scan(texts: DataFrame, window: int) -> DataFrame:
         import numpy as np
         import pyarrow as pa
 
-        from .shingles import words_of
-
         for batch in batches:
-            b = _Batch([words_of(t, False) for t in batch.column(1).to_pylist()], window)
+            b = _Batch(batch.column(1).cast(pa.binary()).to_pylist(), window)
             h = b.least()
             new = np.ones(len(h), bool)
             new[1:] = (h[1:] != h[:-1]) | (b.of[1:] != b.of[:-1])
@@ -93,7 +90,7 @@ def _windows(found: DataFrame, window: int) -> DataFrame:
         from .shingles import unpack
 
         for batch in batches:
-            b = _Batch([unpack(z).split() for z in batch.column(1).to_pylist()], window)
+            b = _Batch([unpack(z) for z in batch.column(1).to_pylist()], window)
             keep = b.inside & np.isin(b.least(), batch.column(2).flatten().to_numpy().view(np.uint64))
             yield pa.RecordBatch.from_arrays([pa.array(b.hashes()[keep].view(np.int64)), batch.column(0).take(pa.array(b.of[keep]))], ["h", "id"])
 
@@ -272,9 +269,9 @@ def _streamed(rows: DataFrame, window: int) -> DataFrame:
 
         at, owners, automaton, out = None, [], None, []
 
-        def runs(words, own):
+        def runs(text, own):
             # Of a window that recurs inside its owner the first place is enough.
-            h, k = np.unique(_Batch([words], window).hashes(), return_index=True)
+            h, k = np.unique(_Batch([text], window).hashes(), return_index=True)
             k = np.sort(k[np.isin(h, np.array(own, np.int64).view(np.uint64))])
             cuts = np.flatnonzero(np.diff(k) > 1)
             return [(int(x), int(y) + window) for x, y in zip(k[[0, *(cuts + 1)]], k[[*cuts, -1]], strict=True)] if len(k) else []
@@ -288,9 +285,10 @@ def _streamed(rows: DataFrame, window: int) -> DataFrame:
             for shard, part, kind, i, key, z, own in zip(*(batch.column(c).to_pylist() for c in range(7)), strict=True):
                 if (shard, part) != at:
                     at, owners, automaton = (shard, part), [], None
-                words = unpack(z).split()
+                text = unpack(z)
+                words = text.split()
                 if kind == 0:
-                    owners.append((i, words, runs(words, own)))
+                    owners.append((i, words, runs(text, own)))
                     continue
                 if automaton is None:
                     automaton, owners = _Automaton(owners, window), []

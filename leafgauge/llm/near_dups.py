@@ -38,15 +38,15 @@ def signatures(docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame
         import numpy as np
         import pyarrow as pa
 
-        from .shingles import shingle_set, words_of
+        from .shingles import shingle_sets
 
         rng = np.random.default_rng(7)
         a = (rng.integers(0, 1 << 31, VALUES, dtype=np.uint64) * 2 + 1).astype(np.uint32)[:, None]
         b = rng.integers(0, 1 << 32, VALUES, dtype=np.uint64).astype(np.uint32)[:, None]
         for batch in batches:
             rows = {x: [] for x in ("n", "h1", "h2", "sketch", "keys")}
-            for text in batch.column(1).to_pylist():
-                s = shingle_set(words_of(text, True), k)
+            texts = [(t or b"").lower() for t in batch.column(1).cast(pa.binary()).to_pylist()]
+            for s in shingle_sets(texts, k):
                 rows["n"].append(len(s))
                 h = int(np.bitwise_xor.reduce(s)) if len(s) else 0
                 rows["h1"].append(h - (1 << 64) if h >> 63 else h)
@@ -221,7 +221,7 @@ def _joined_there(rows: DataFrame, k: int, percent: int) -> DataFrame:
 
         r = _Region(key, rows, percent)
         base = np.array([x[5] for x in r.rows], np.int64) if r.rows[0][5] is not None else np.empty((len(r.ids), 0), np.int64)
-        sets = [shingle_set(unpack(x[6]).split(), k) for x in r.rows]
+        sets = [shingle_set(unpack(x[6]), k) for x in r.rows]
         top = {c: c for c in r.comp.tolist()}
 
         def of(c):
@@ -254,7 +254,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> Data
             if i not in known:
                 if len(known) > 300:
                     known.clear()
-                known[i] = shingle_set(unpack(z).split(), k)
+                known[i] = shingle_set(unpack(z), k)
             return known[i]
 
         for batch in batches:

@@ -2,37 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import xxhash
 import zstandard
 
-WORDS_KEPT = 150_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-class _Hashes(dict):
-    """Word -> 64-bit hash; starts afresh beyond a bound, which changes no result."""
-
-    def __missing__(self, word):
-        if len(self) > WORDS_KEPT:
-            self.clear()
-        got = self[word] = xxhash.xxh64_intdigest(word)
-        return got
-
-
-_hashes = _Hashes()
-
-
 def words_of(text: str | None, lower: bool) -> list[bytes]:
     """Words parted by ASCII white space; lower: A-Z become a-z, other letters stay."""
     raw = (text or "").encode("utf-8", "surrogatepass")
     return (raw.lower() if lower else raw).split()
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
-
-
 #: Bytes whose words are hashed at once.
 _PIECE = 1 << 19
 _IS_SPACE = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
@@ -100,9 +83,17 @@ def grams(w: np.ndarray, k: int) -> np.ndarray:
     return _mixed(h)
 
 
-def shingle_set(words: list[bytes], k: int) -> np.ndarray:
-    """Sorted distinct hashes of the k-word shingles; of fewer words, the whole sequence as one; of none, empty."""
-    return np.unique(grams(word_hashes(words), min(k, len(words)))) if words else np.empty(0, np.uint64)
+def shingle_sets(texts: list[bytes], k: int) -> Iterator[np.ndarray]:
+    """Of each text the sorted distinct hashes of its k-word shingles; of fewer words, the whole sequence as one; of none, empty."""
+    words, counts = hashed_words(texts)
+    at = 0
+    for n in counts.tolist():
+        yield np.unique(grams(words[at : at + n], min(k, n))) if n else np.empty(0, np.uint64)
+        at += n
+
+
+def shingle_set(text: bytes, k: int) -> np.ndarray:
+    return next(shingle_sets([text], k))
 
 
 def enough(a: np.ndarray, b: np.ndarray, percent: int) -> bool:

@@ -84,6 +84,37 @@ def test_near_against_brute_force(spark, block, monkeypatch):
     assert got == top
 
 
+def test_near_where_regions_deepen(spark, monkeypatch):
+    monkeypatch.setattr(near_dups, "BLOCK", 2)
+    monkeypatch.setattr(near_dups, "BLOCKS", 2)
+    rng = random.Random(6)
+    template, docs = [str(rng.randrange(10**6)) for _ in range(88)], []
+    for i in range(100):
+        w = template + [str(rng.randrange(10**6)) for _ in range(12)]
+        docs.append((2 * i, " ".join(w), "s"))
+        for at in (10 + rng.randrange(20), 50 + rng.randrange(20)):
+            w[at] = f"edit{i}"
+        docs.append((2 * i + 1, " ".join(w), "s"))
+    nodes = near_dups.signatures(frame(spark, docs), 5, "doc_id", "text").withColumn("comp", F.col("id"))
+    assert near_dups._regions(nodes)[1]
+    got = {r["doc_id"]: r["component_id"] for r in near_dups.near_duplicates(frame(spark, docs)).collect()}
+    assert got == {i: i // 2 * 2 for i in range(200)}
+
+
+def test_near_misses_at_every_depth():
+    """Pairs at 0.8 whose every region is read as deep as DEPTHS goes: signature values agree at random."""
+    rng, reads, missed, tried = np.random.default_rng(8), near_dups._reads(), [0, 0, 0], 400_000
+    for _ in range(tried // 20_000):
+        agree = rng.random((near_dups.VALUES, 20_000)) < 0.8
+        for depth in range(3):
+            met = np.ones((1, 20_000), bool)
+            for d in range(depth, -1, -1):
+                here = np.array([agree[x].all(axis=0) for x in reads[d]])
+                met = here & (met if d == depth else met.reshape(len(here), near_dups.SPLITS, -1).any(axis=1))
+            missed[depth] += int((~met.any(axis=0)).sum())
+    assert max(missed) < 1e-4 * tried, missed
+
+
 def vectors(spark, rows):
     return spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
 

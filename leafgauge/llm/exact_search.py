@@ -83,15 +83,13 @@ def _products(pairs: DataFrame, k: int, only_bound: bool) -> DataFrame:
                     if local > 1 + 1e-9:
                         continue
                     if local >= COORDINATES_FROM:
-                        # A vector at cosine t or more to q has each unit coordinate within this of t times q's own.
+                        # A vector within an angle of q is within it of q's own angle to each axis.
                         unit = q[r] / qlength[r]
-                        t = np.clip(need / np.maximum(most, 1e-300), -1, 1)
+                        angle = np.arccos(np.clip(need / np.maximum(most, 1e-300), -1, 1)) + 1e-6
                         ok = most >= need * (1 - 1e-12) - 1e-9
                         for f in np.argsort(-np.abs(unit))[:COORDINATES]:
-                            u = xf[:, f] / np.maximum(length, 1e-300)
-                            ok &= np.abs(u - t * unit[f]) <= np.sqrt(np.maximum(0, (1 - t * t) * (1 - unit[f] ** 2))) + 1e-9
-                            # Smaller cosines are ruled out; larger ones lie nearer to q's own coordinate.
-                            ok |= (np.abs(u - unit[f]) <= np.abs(t * unit[f] - unit[f])) & (most >= need)
+                            u = np.clip(xf[:, f] / np.maximum(length, 1e-300), -1, 1)
+                            ok &= np.abs(np.arccos(u) - np.arccos(np.clip(unit[f], -1, 1))) <= angle
                         c = np.flatnonzero(ok)
                         s = xs[c] @ qs[r]
                     else:

@@ -132,6 +132,25 @@ def test_exact_search_with_ties_and_bad_vectors(spark):
     assert exact_search.top_products(vectors(spark, [])).count() == 0
 
 
+def test_exact_search_on_sparse_vectors(spark):
+    rng = np.random.default_rng(9)
+    q = np.array([0.7, 0.5, 0.4, 0.3, 0.1, 0, 0, 0])
+    off = rng.normal(size=(40, 8))
+    off -= (off @ q)[:, None] * q
+    near = 1.05 * (0.6 * q + 0.8 * off / np.linalg.norm(off, axis=1)[:, None])
+    sparse = rng.random((40, 8)) < 0.3
+    sparse = sparse / np.sqrt(np.maximum(1, sparse.sum(axis=1)))[:, None]
+    x = 10 * np.vstack([q, near, np.eye(8), np.eye(8), np.eye(8)[:, ::-1], sparse])
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(x)]
+    x = np.floor(64 * x.astype(np.float32).astype(float)).astype(int)
+    got = {}
+    for r in exact_search.top_products(vectors(spark, rows)).collect():
+        got.setdefault(r["query_id"], {})[r["rank"]] = (r["vec_id"], r["score"])
+    for a in range(0, len(x), 20):
+        want = sorted(((int(x[a] @ x[i]), -i) for i in range(len(x)) if i != a), reverse=True)[:20]
+        assert [got[a][k] for k in range(1, 21)] == [(-i, s) for s, i in want]
+
+
 def test_graph_search_recall(spark):
     rng = np.random.default_rng(4)
     rows = [(i, [float(x) for x in rng.normal(size=8)]) for i in range(600)] + [(600 + i, [1.0] * 8) for i in range(30)] + [(700, None), (701, [0.0] * 8)]

@@ -312,7 +312,7 @@ def smallest_box(spark, sf_dir):
 
 @query(None)
 def visual_rows(spark, sf_dir):
-    s = spans(spark, sf_dir).where("page < 20").where("y1 > y0")
+    s = spans(spark, sf_dir).where("y1 > y0")
     return islands.visual_rows(s, ["page"])
 
 

@@ -107,8 +107,41 @@ def _byte_symbols() -> list[str]:
     return [chr(b) if b in set(plain) else chr(next(moved)) for b in range(256)]
 
 
+def odd_characters() -> bytearray:
+    """By code point 1 for characters that the library's Unicode tables may see otherwise than Python's: unassigned ones, and whatever differs in
+    class, lower case, composition or combining class. Texts without them are split alike by both."""
+    from tokenizers import Regex, normalizers, pre_tokenizers
+
+    kinds = {chr(c): unicodedata.category(chr(c)) for c in range(128, 0x110000)}
+    odd = {c for c, k in kinds.items() if k == "Cn"}
+    every = [c for c, k in kinds.items() if k not in ("Cn", "Co", "Cs")]
+    whole = "".join(every)
+    for theirs, ours in ((r"\p{L}", r"\p{L}"), (r"\p{N}", r"\p{N}"), (r"\s", f"[{WordBpe.SPACE}]")):
+        runs = pre_tokenizers.Split(Regex(f"(?:{theirs})+"), "removed").pre_tokenize_str(whole)
+        outside = {i for _, (a, b) in runs for i in range(a, b)}
+        inside = {m.start() for m in regex.finditer(ours, whole)}
+        odd |= {c for i, c in enumerate(every) if (i in outside) == (i in inside)}
+
+    def differ(rule, mine, form):
+        theirs = rule.normalize_str("\n".join(map(form, every))).split("\n")
+        return {c for c, x in zip(every, theirs, strict=True) if x != mine(form(c))}
+
+    # The last two show whether a mark before or after the character changes places with it.
+    for form in (str, lambda c: f"a{c}\u0334", lambda c: f"a\u0345{c}"):
+        odd |= differ(normalizers.NFC(), lambda x: unicodedata.normalize("NFC", x), form)
+    odd |= differ(normalizers.Lowercase(), lambda x: x.replace("Σ", "σ").lower(), str)
+    table = bytearray(0x110000)
+    for c in odd:
+        table[ord(c)] = 1
+    return table
+
+
 class WordBpe:
-    """The file word_bpe_49k.json: NFC, lower case, white space dropped, merges inside words, word ends."""
+    """The file word_bpe_49k.json: NFC, lower case, white space dropped, merges inside words, word ends.
+
+    A text with a character that the library's Unicode tables may see otherwise than Python's is normalised and split by the
+    library; the encoding itself is always that of the prefix programme.
+    """
 
     #: White space as the library's pattern engine has it.
     SPACE = r"\t-\r \x85\xa0  -     　"
@@ -135,6 +168,10 @@ class WordBpe:
         # Fixed pattern of the vocabulary file.
         self.pieces = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{self.SPACE}\p{{L}}\p{{N}}]+").findall
         self.parted = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")").split
+        import tokenizers
+
+        self.library = tokenizers.Tokenizer.from_file(path)
+        self.odd = odd_characters()
         outer = self
 
         class Cache(dict):
@@ -148,7 +185,10 @@ class WordBpe:
 
     def _word(self, word: str) -> bytes:
         """Ids of one word as little-endian 32-bit numbers, by back-pointers from its end."""
-        s = "".join(map(self.bytes.__getitem__, word.encode("utf-8", "surrogatepass"))) + self.END
+        return self._spelt("".join(map(self.bytes.__getitem__, word.encode("utf-8", "surrogatepass"))))
+
+    def _spelt(self, word: str) -> bytes:
+        s = word + self.END
         last, start = self.table.last_tokens(s)
         ids, i = [], len(s)
         while i:
@@ -166,6 +206,9 @@ class WordBpe:
         for k, part in enumerate(self.parted(text) if "<|" in text else (text,)):
             if k % 2:
                 out.append(struct.pack("<I", self.special[part]))
+            elif part and not part.isascii() and any(map(self.odd.__getitem__, map(ord, set(part)))):
+                part = self.library.normalizer.normalize_str(part)
+                out += [self._spelt(word) for word, _ in self.library.pre_tokenizer.pre_tokenize_str(part)]
             elif part:
                 part = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
                 out += map(self.cache.__getitem__, self.pieces(part))
@@ -216,7 +259,7 @@ class PieceBpe:
         if mixed:
             raise ValueError("pieces with blanks inside need whole texts")
         apart = "\n" if "\n" not in inside else ""
-        self.words = regex.compile(f" +[^ {apart}]*|[^ {apart}]+" + (f"|{apart}" if apart else "")).findall
+        self.words = regex.compile(f"{self.BLANK}+[^{self.BLANK}{apart}]*|[^{self.BLANK}{apart}]+" + (f"|{apart}" if apart else "")).findall
         outer = self
 
         class Cache(dict):
@@ -241,8 +284,8 @@ class PieceBpe:
         return (of[x[0]], of[x[1]]) if len(x) == 2 and x[0] in of and x[1] in of else None
 
     def prefix_counts_of(self, word: str) -> list[int]:
-        """Tokens of every prefix of a word (with its blanks before it), from 0 characters to all."""
-        s = word.replace(" ", self.BLANK)
+        """Tokens of every prefix of a word (with its blanks, as U+2581, before it), from 0 characters to all."""
+        s = word
         out = [0] * (len(s) + 1)
         cost = self.bytes_of
         known = self.table.automaton
@@ -264,7 +307,7 @@ class PieceBpe:
         return out
 
     def _norm(self, text: str | None) -> list[str]:
-        return self.words(" " + text) if text else []
+        return self.words(self.BLANK + text.replace(" ", self.BLANK)) if text else []
 
     def count(self, text: str | None) -> int:
         """Exact token count of a whole text."""

@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from .common import cut
 
 
+#: Links of a partition at least: small graphs don't travel in thousands of small files.
+ROWS = 50_000
+
+
 def components(links: DataFrame) -> DataFrame:
     """Rows (node, component) of every node of links (a, b); component: the smallest node reached.
 
@@ -23,6 +27,7 @@ def components(links: DataFrame) -> DataFrame:
     e = cut(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     before = state(e)
     while before[0]:
+        e = e.coalesce(int(before[0]) // ROWS + 1)
         both = e.union(e.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         e = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()

@@ -1,16 +1,17 @@
 """MinHash near-duplicates by an LSH forest (operator 7).
 
-Every text's word-shingle set gets one long MinHash signature. Each tree of the forest reads the
-signature in an order of its own; texts sorted by it fall into regions with a common prefix. The
-prefix starts short, so that a pair at the least similarity shares a region in some tree but for about
-one in 10^5. Where a region is too large it is dealt out several times, each time by further values of
-its own, so that the pairs one deal parts meet in another. Neighbours inside a region are weighed by
-their 4-bit sketches; what may reach the similarity is confirmed on full sets.
-
-Texts with equal sets are one node from the start. A first pass links each node to its best
-neighbour with a smaller id; a second weighs all neighbours that are still in different components.
-So no group of copies is ever expanded into its pairs: where both of a pair have many neighbours left,
-their sets are sent to the region and confirmed there, and only links that join components leave it.
+Every text's word-shingle set gets one long MinHash signature. Each tree of the forest sorts the texts by
+signature values of its own, read in order; its regions are the texts whose first two values agree, so that a
+pair at the least similarity shares a region in some tree but for about one in 10^5.
+
+Texts with equal sets are one node from the start. A first pass walks each tree's sorted order: a node's
+candidates are the neighbours that share the longest prefix with it, so the walk is linear however large a region
+is; the better ones are confirmed on full sets and joined. The second pass takes the regions that still hold
+several components, and weighs all pairs of different components there by their 4-bit sketches; what may reach the
+similarity is confirmed. Where such a region is too large it is dealt out several times, each time by further
+values of its own, so that the pairs one deal parts meet in another. Rows of a region's commonest component meet
+only the others. So no group of copies is ever expanded into its pairs: where both of a pair have many neighbours
+left, their sets are sent to the region and confirmed there, and only links that join components leave it.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from .components import components
 
 #: Signature values; trees and the values each reads; prefix lengths a region may have.
 VALUES, TREES, READS, DEPTHS = 256, 12, 20, (2, 5, 10)
+#: Neighbours to each side in a tree's sorted order that the first pass weighs, and rows of the order held at once.
+WALK, HELD = 32, 4096
 #: Rows of a region compared in one block, and blocks from which a region is read to a longer prefix.
 BLOCK, BLOCKS = 2048, 16
 #: Times a region read to a longer prefix is dealt out; a pair at 0.8 is then missed less than once in 10^4 at any depth.
@@ -93,17 +96,28 @@ def _reads() -> list[list[list[int]]]:
     return out
 
 
+def _keyed(nodes: DataFrame, several: str) -> DataFrame:
+    """Rows (tree, region, count, id) of the nodes in regions that have several distinct values of a column."""
+    keys = nodes.select("id", several if several != "id" else F.col("id").alias("_"), F.posexplode("keys").alias("tree", "region"))
+    of = "_" if several == "id" else several
+    per = keys.groupBy("tree", "region").agg(F.count("*").alias("count"), F.min(of).alias("lo"), F.max(of).alias("hi")).where("lo < hi").select("tree", "region", "count")
+    return keys.select("tree", "region", "id").join(per.hint("merge"), ["tree", "region"]).select("tree", "region", "count", "id")
+
+
 def _regions(nodes: DataFrame) -> tuple[DataFrame, bool]:
-    """Rows (tree, region, bi, bj, b, id, n, comp, sketch) of nodes dealt to their regions; whether any has a longer prefix.
+    """Rows (tree, region, bi, bj, b, id, n, comp, sketch) of nodes dealt to the regions that hold several components; whether
+    any has a longer prefix.
 
-    A region of more than BLOCK rows is cut into blocks, and each pair of blocks meets once; one of more than
-    BLOCKS blocks is dealt out SPLITS times by longer prefixes first, as far as DEPTHS goes, if that leaves fewer pairs.
+    A region of more than BLOCK rows is cut into blocks, its commonest component apart, and each pair of blocks that may
+    hold links meets once; one of more than BLOCKS blocks is dealt out SPLITS times by longer prefixes first, as far as
+    DEPTHS goes, if that leaves fewer pairs.
     """
-    rows = nodes.select("*", F.explode(F.expr(f"sequence(0, {TREES - 1})")).alias("tree"))
-    rows = rows.withColumn("region", F.expr("element_at(keys, tree + 1)")).withColumn("nb", F.lit(1)).withColumn("deep", F.lit(True)).withColumn("path", F.col("tree"))
+    light = cut(_keyed(nodes, "comp"))
+    rows = light.drop("count").join(nodes.drop("keys").hint("merge"), "id").withColumn("nb", F.lit(1)).withColumn("deep", F.lit(True)).withColumn("path", F.col("tree"))
     deeper, reads = False, _reads()
     for d in range(len(DEPTHS)):
-        large = cut(rows.where("deep").groupBy("tree", "region").count().where(F.col("count") > BLOCK))
+        sizes = rows.where("deep").groupBy("tree", "region").count() if d else light.select("tree", "region", "count").distinct()
+        large = cut(sizes.where(F.col("count") > BLOCK))
         if large.isEmpty():
             break
         larger = large.where(F.col("count") > BLOCK * BLOCKS) if d + 1 < len(DEPTHS) else large.limit(0)
@@ -126,7 +140,16 @@ def _regions(nodes: DataFrame) -> tuple[DataFrame, bool]:
         deeper = True
         rows = rows.withColumn("next", F.explode(F.when(F.col("deep"), paths).otherwise(F.array("path"))))
         rows = rows.withColumn("region", F.when(F.col("deep"), key).otherwise(F.col("region"))).withColumn("path", F.col("next")).drop("next")
-    rows = rows.withColumn("b", F.expr("cast(pmod(xxhash64(id, tree), nb) as int)")).withColumn("o", F.explode(F.expr("sequence(0, nb - 1)")))
+    # Blocks of the commonest component first; they meet no block of their own kind.
+    per = rows.where("nb > 1").groupBy("tree", "region", "comp").count().groupBy("tree", "region")
+    per = per.agg(F.max_by("comp", F.struct("count", "comp")).alias("most"), F.max("count").alias("x"), F.sum("count").alias("all"))
+    per = per.select("tree", "region", "most", F.expr(f"ceil(x / {BLOCK})").cast("int").alias("nx"), F.expr(f"ceil((all - x) / {BLOCK})").cast("int").alias("no"))
+    rows = rows.join(per, ["tree", "region"], "left")
+    hashed = F.xxhash64("id", "tree")
+    first = F.expr("comp <=> most")
+    block = F.when(F.col("nx").isNull(), 0).when(first, F.expr("cast(pmod(xxhash64(id, tree), nx) as int)")).otherwise(F.col("nx") + F.pmod(hashed, F.greatest("no", F.lit(1))).cast("int"))
+    others = F.when(F.col("nx").isNull(), F.array(F.lit(0))).when(F.col("no") == 0, F.array().cast("array<int>")).when(first, F.expr("sequence(nx, nx + greatest(no, 1) - 1)")).otherwise(F.expr("sequence(0, nx + greatest(no, 1) - 1)"))
+    rows = rows.withColumn("b", block).withColumn("o", F.explode(others))
     rows = rows.select("tree", "region", F.least("b", "o").alias("bi"), F.greatest("b", "o").alias("bj"), "b", "id", "n", "comp", "sketch", *(c for c in nodes.columns if c == "base"))
     return rows, deeper
 
@@ -178,39 +201,90 @@ class _Region:
         self.same = np.array([(x >> 4 == 0) + (x & 15 == 0) for x in range(256)], np.uint8)
         self.least = VALUES * (1 / 16 + 15 / 16 * (percent / 100 - MARGIN))
 
-    def before(self, i: int, base=None):
-        """Rows before i that may be near it, and how many of their values agree; base: skip what an earlier tree compares."""
+    def before(self, i: int, base):
+        """Rows before i in other components that may be near it; base: skip what an earlier tree compares."""
         import numpy as np
 
         may = 100 * np.minimum(self.n[:i], self.n[i]) >= self.percent * np.maximum(self.n[:i], self.n[i])
         if self.key[2] != self.key[3]:
             may &= self.block[:i] != self.block[i]
-        if base is not None:
-            may &= self.comp[:i] != self.comp[i]
+        may &= self.comp[:i] != self.comp[i]
         js = np.flatnonzero(may)
-        if base is not None and len(js) and self.key[0]:
+        if len(js) and self.key[0]:
             js = js[~(base[js, : self.key[0]] == base[i, : self.key[0]]).any(axis=1)]
         score = self.same[self.sketch[js] ^ self.sketch[i]].sum(axis=1) if len(js) else js
-        return js[score >= self.least], score[score >= self.least]
+        return js[score >= self.least]
 
 
-def _best(regions: DataFrame, percent: int) -> DataFrame:
-    """Rows (a, b): for each node of a region the best neighbour with a smaller id; (a, a) for whatever is a neighbour."""
+def _walked(nodes: DataFrame, percent: int) -> DataFrame:
+    """Rows (a, b): each node's best neighbour in a tree's sorted order, a < b; (a, a) for what may have further neighbours."""
 
-    def region(key, rows):
+    def work(batches):
         import numpy as np
+        import pyarrow as pa
 
-        r = _Region(key, rows, percent)
-        has = np.zeros(len(r.ids), bool)
-        for i in range(1, len(r.ids)):
-            js, score = r.before(i)
-            if len(js):
-                has[js] = True
-                yield r.ids[int(js[score.argmax()])], r.ids[i]
-        for j in np.flatnonzero(has).tolist():
-            yield r.ids[j], r.ids[j]
+        same = np.array([(x >> 4 == 0) + (x & 15 == 0) for x in range(256)], np.uint8)
+        least = VALUES * (1 / 16 + 15 / 16 * (percent / 100 - MARGIN))
+
+        def weighed(rows, new, whole):
+            """Pairs of what is held of one region's order, the first `new` rows having been weighed before."""
+            ids, n = np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.int64)
+            sketch = np.frombuffer(b"".join(r[2] for r in rows), np.uint8).reshape(len(rows), -1)
+            best, partner = np.zeros(len(rows), np.int64), np.arange(len(rows))
+            for o in range(1, min(WALK, len(rows) - 1) + 1):
+                lo = max(0, new - o)
+                x, y = np.arange(lo, len(rows) - o), np.arange(lo + o, len(rows))
+                ok = (100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y])) & (ids[x] != ids[y])
+                x, y = x[ok], y[ok]
+                score = same[sketch[x] ^ sketch[y]].sum(axis=1)
+                for i, j in ((x, y), (y, x)):
+                    up = (score >= least) & (score > best[i])
+                    best[i[up]], partner[i[up]] = score[up], j[up]
+            has = np.flatnonzero(best)
+            a, b = ids[has], ids[partner[has]]
+            alone = ids[has] if whole else ids
+            return [np.minimum(a, b), alone], [np.maximum(a, b), alone]
+
+        left, right, size, key, rows, new = [], [], 0, None, [], 0
+
+        def handed():
+            a, b = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (left, right))
+            pairs = np.unique(np.stack([a, b], axis=1), axis=0)
+            left.clear()
+            right.clear()
+            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+        def done():
+            nonlocal size
+            if len(rows) > new and len(rows) > 1:
+                a, b = weighed(rows, new, rows[0][3] <= WALK + 1)
+                left.extend(a)
+                right.extend(b)
+                size += len(rows)
+
+        for batch in batches:
+            for row in zip(*(batch.column(c).to_pylist() for c in range(6)), strict=True):
+                if row[:2] != key:
+                    done()
+                    key, rows, new = row[:2], [], 0
+                elif len(rows) >= HELD:
+                    done()
+                    rows, new = rows[-WALK:], WALK
+                rows.append(row[2:])
+            if size > 100_000:
+                yield handed()
+                size = 0
+        done()
+        yield handed()
 
-    return _by_region(regions, region, "a bigint, b bigint").distinct()
+    rows = _keyed(nodes, "id").join(nodes.select("id", "n", "sketch").hint("merge"), "id")
+    # A tree's values stand side by side in the sketch, two to a byte: read in order they sort its texts.
+    order = F.expr(f"substring(sketch, {READS // 2} * tree + 1, {READS // 2})")
+    depth = F.expr(f"if(count > {BLOCK}, cast(ceil(log2(count / {BLOCK}) / 2) as int), 0)")
+    rows = rows.select("tree", "region", "count", order.alias("order"), depth.alias("depth"), "id", "n", "sketch")
+    rows = rows.withColumn("deal", F.xxhash64(F.expr("substring(order, 2, depth)"))).select("tree", "region", "order", "deal", "id", "n", "sketch", "count")
+    rows = spread(rows, "tree", "region", "deal").sortWithinPartitions("tree", "region", "order", "id").select("tree", "region", "id", "n", "sketch", "count")
+    return rows.mapInArrow(work, "a bigint, b bigint").distinct()
 
 
 def _across(regions: DataFrame, percent: int) -> DataFrame:
@@ -223,7 +297,7 @@ def _across(regions: DataFrame, percent: int) -> DataFrame:
         if (r.comp == r.comp[0]).all():
             return
         base = np.array([x[5] for x in r.rows], np.int64) if r.rows[0][5] is not None else np.empty((len(r.ids), 0), np.int64)
-        near = [(i, r.before(i, base)[0]) for i in range(1, len(r.ids))]
+        near = [(i, r.before(i, base)) for i in range(1, len(r.ids))]
         count = np.zeros(len(r.ids), np.int64)
         for i, js in near:
             count[js] += 1
@@ -257,7 +331,7 @@ def _joined_there(rows: DataFrame, k: int, percent: int) -> DataFrame:
             return c
 
         for i in range(1, len(r.ids)):
-            for j in r.before(i, base)[0].tolist():
+            for j in r.before(i, base).tolist():
                 x, y = of(int(r.comp[i])), of(int(r.comp[j]))
                 if x != y and enough(sets[i], sets[j], percent):
                     top[max(x, y)] = min(x, y)
@@ -326,7 +400,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     nodes = full.join(least.select(F.col("rep").alias("id"), "h1", "h2").hint("merge"), ["id", "h1", "h2"], "left_semi").select("id", "n", "sketch", "keys")
     nodes = cut(nodes.withColumn("comp", F.col("id")))
 
-    found = cut(_best(_regions(nodes)[0], percent))
+    found = cut(_walked(nodes, percent))
     near = found.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     texts = cut(_packed(docs, id_col, text_col).join(near.hint("merge"), "id", "left_semi").dropDuplicates(["id"]))
     pairs = found.where("a < b")

@@ -71,11 +71,21 @@ s as (select *, [5, 2, 1][(si % 3 + 1)::int]::bigint as w, 3 * source_size as ca
 o as (select *, cap / w::double as r, (sum(source_size) over () - coalesce(sum(cap) over before, 0)) / (sum(w) over () - coalesce(sum(w) over before, 0))::double as x
   from s window before as (order by cap / w::double, si rows between unbounded preceding and 1 preceding)),
 x as (select min_by(x, (r, si)) as x from o where r >= x),
-t as (select source, source_size, coalesce(least(cap::double, w * x.x), cap::double) as target from s, x),
-l as (select d.*, t.source_size, t.target, least(round(t.target)::bigint, 3 * t.source_size) as quota, sum(size) over (partition by d.source order by h, doc_id rows unbounded preceding) - size as start
-  from d join t on d.source is not distinct from t.source)
-select doc_id, size, source_size, target,
-  (case when source_size = 0 then 0 else (quota // source_size) * size + greatest(0, least(start + size, quota % source_size) - start) end)::bigint as taken from l
+t as materialized (select si, source, source_size, coalesce(least(cap::double, w * x.x), cap::double) as target, least(round(coalesce(least(cap::double, w * x.x), cap::double))::bigint, cap) as quota from s, x),
+q as materialized (select si, quota, source_size, (source_size + 511) // 512 as nb, (quota // source_size) * ((source_size + 511) // 512) + (quota % source_size + 511) // 512 as q,
+  nullif(quota % source_size % 512, 0) as last from t where source_size > 0 and quota > 0),
+span as (select si, (sum(q) over (order by si) - q) / (sum(q) over ())::double as lo, sum(q) over (order by si) / (sum(q) over ())::double as hi from q),
+slot as (select i as slot, ((i % 2147483648) * 1327217885 % 2147483648) / 2147483648::double as u from (select unnest(range(sum(q)::bigint)) as i from q)),
+dealt as (select slot, si, row_number() over (partition by si order by slot) - 1 as k from slot join span on u >= lo and u < hi),
+m as (select si, count(*) as m from dealt group by 1),
+late as (select (select sum(q) from q) + row_number() over (order by k, si) - 1 as slot, si, k from (select si, unnest(range(coalesce(m, 0), q::bigint)) as k from q left join m using (si))),
+used as materialized (select slot, si, k % nb as block, case when k = q - 1 then last end as cut from (select * from dealt union all select * from late) join q using (si) where k < q),
+l as materialized (select d.*, t.si, t.source_size, t.target, t.quota, sum(size) over (partition by d.source order by h, doc_id rows unbounded preceding) - size as start from d join t on d.source is not distinct from t.source),
+part as (select doc_id, si, start, size, unnest(range((start // 512)::bigint, ((start + size - 1) // 512 + 1)::bigint)) as block from l where size > 0),
+seen as (select doc_id, min(slot) as first_slot, count(*) as n_slots from part join used using (si, block)
+  where least(start + size, block * 512 + coalesce(cut, 512)) > greatest(start, block * 512) group by 1)
+select doc_id, size, source_size, target, first_slot::bigint as first_slot, coalesce(n_slots, 0)::bigint as n_slots,
+  (case when source_size = 0 then 0 else (quota // source_size) * size + greatest(0, least(start + size, quota % source_size) - start) end)::bigint as taken from l left join seen using (doc_id)
 """
 
 LINES = f"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import zipfile
 from pathlib import Path
@@ -15,10 +16,12 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names in spark.checkpoint.dir; where none is set (tests), a temporary one."""
+    """The shared folder the cluster names in spark.checkpoint.dir; where none is set, a temporary one, on local masters only."""
     place = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     context = spark.sparkContext._jsc.sc()
     if context.getCheckpointDir().isEmpty():
+        if not place and not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         spark.sparkContext.setCheckpointDir(place or tempfile.mkdtemp(prefix="checkpoint-"))
     return context.getCheckpointDir().get()
 

@@ -1,9 +1,10 @@
-"""DuckDB SQL for the queries that SQL can express, written from the contracts, not from the operators."""
+"""DuckDB SQL for the queries that SQL can express, written from the contracts, not from the operators.
+
+Only the licence texts themselves are the operator's."""
 
 from __future__ import annotations
 
-from .licences import AGREE, BASE, COVER, RAREST, TEMPLATES, WORD, _postings
-from .lines import EDGES, MARKUP
+from .licences import BASE, TEMPLATES
 
 SPACE = "[^\\x20\\x09-\\x0D]+"
 LOWERED = "translate(coalesce(text,''),'ABCDEFGHIJKLMNOPQRSTUVWXYZ','abcdefghijklmnopqrstuvwxyz')"
@@ -12,20 +13,16 @@ _base = "\nunion all\n".join(
     f"select d.doc_id, '{label}' as label, (i - 1)::bigint as pos from d, unnest(generate_series(1, len(w))) as u(i) where " + " and ".join(f"w[i + {j}] = '{x}'" for j, x in enumerate(phrase.split()))
     for phrase, label in BASE
 )
-_post = ", ".join(f"({t}, '{label}', {i}, '{w}', {str(must).lower()}, {n})" for t, label, i, w, must, n in _postings(TEMPLATES))
-_known = ", ".join(f"'{w}'" for w in sorted({w for p, _ in BASE for w in p.split()} | {w for _, p, _ in TEMPLATES for w in p.split()}))
+_template = ", ".join(f"({t}, '{label}', string_split('{passage}', ' '), string_split('{key}', ' '))" for t, (label, passage, key) in enumerate(TEMPLATES))
 
+# A template is found where its key phrase stands and half of its words at least stand at their places beside it.
 LICENCES = f"""
-with d as materialized (select doc_id, regexp_extract_all({LOWERED}, '{WORD}') as w from documents),
-post(t, label, i, word, must, n) as (values {_post}),
-hit as materialized (select doc_id, i - 1 as p, w[i] as word from d, unnest(generate_series(1, len(w))) as u(i) where w[i] in ({_known})),
-often as (select k.word, count(distinct hit.doc_id) as n from (select unnest([{_known}]) as word) k left join hit using (word) group by 1),
-rank as (select word, row_number() over (order by n, word) as k from often),
-rare as (select doc_id, word from (select doc_id, word, row_number() over (partition by doc_id order by k) as z from (select distinct doc_id, word from hit) join rank using (word)) where z <= {RAREST}),
-spot as (select doc_id, t, p - i as d from hit join rare using (doc_id, word) join post using (word) group by 1, 2, 3 having count(*) >= {AGREE}),
-seen as (select s.doc_id, s.t, s.d, post.label, bool_and(hit.p is not null or not must) as sure, count(hit.p) / any_value(post.n)::double as cover
-  from spot s join post on post.t = s.t left join hit on hit.doc_id = s.doc_id and hit.p = s.d + post.i and hit.word = post.word group by 1, 2, 3, 4),
-found as (select doc_id, label, cover from seen where sure and cover >= {COVER}),
+with d as materialized (select doc_id, regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+t(t, label, words, key) as (values {_template}),
+tk as materialized (select *, list_filter(range(1, len(words) + 1), lambda i: words[i:i + len(key) - 1] = key)[1] as pos0 from t),
+spot as (select doc_id, tk.t, label, i - pos0 as d, w, words from d, unnest(generate_series(1, len(w))) as u(i), tk where w[i] = key[1] and w[i:i + len(key) - 1] = key),
+seen as (select doc_id, label, len(list_filter(range(1, len(words) + 1), lambda i: d + i >= 1 and w[d + i] = words[i])) / len(words)::double as cover from spot),
+found as (select doc_id, label, cover from seen where cover >= 0.5),
 base as ({_base}),
 b as (select doc_id, count(*) as n_base, min(pos) as first_word, max(pos) as last_word, string_agg(distinct label, ',' order by label) as base_labels from base group by 1),
 l as (select doc_id, string_agg(distinct label, ',' order by label) as labels from (select doc_id, label from base union select doc_id, label from found) group by 1),
@@ -88,6 +85,8 @@ select doc_id, size, source_size, target, first_slot::bigint as first_slot, coal
   (case when source_size = 0 then 0 else (quota // source_size) * size + greatest(0, least(start + size, quota % source_size) - start) end)::bigint as taken from l left join seen using (doc_id)
 """
 
+MARKUP, EDGES = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->|<[^>]*>", r"^[\s]+|[\s]+$"
+
 LINES = f"""
 with p as materialized (select page_id, coalesce(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]+)', 1)), '') as host,
   list_filter(list_transform(string_split(regexp_replace(coalesce(html, ''), '{MARKUP}', chr(10), 'g'), chr(10)), lambda x: regexp_replace(x, '{EDGES}', '', 'g')), lambda x: x <> '') as lines from pages),

@@ -36,15 +36,17 @@ def _counts(text: str | None) -> dict:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE) -> dict:
     """Fit on at most `sample` labelled documents, those of least hashed id. Returns weights by feature, and thresholds.
 
-    Labels that are null, and labelled ids without a text, don't count; of several labels of an id the greatest does.
+    Labels that are null, and labelled ids without a text, don't count; of several labels of an id the greatest does, and of several texts the
+    last in order.
     Without both toxic and clean documents the model finds every text clean.
     """
     import numpy as np
 
     some = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("bigint").alias("id")).agg((F.max(label_col) > 0).cast("bigint").alias("y"))
     some = cut(some.orderBy(F.xxhash64("id"), "id").limit(sample))
-    texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("t")).join(F.broadcast(some), "id").dropDuplicates(["id"])
-    texts = texts.select("id", F.concat(F.col("y").cast("string"), F.coalesce("t", F.lit(""))).alias("t"))
+    # At most `sample` labelled ids are broadcast, and as many texts written.
+    texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("t")).join(F.broadcast(some), "id")
+    texts = cut(texts.groupBy("id").agg(F.max(F.concat(F.col("y").cast("string"), F.coalesce("t", F.lit("")))).alias("t")))
 
     def features(batch):
         got = [(t[0] == "1", _counts(t[1:])) for t in batch]

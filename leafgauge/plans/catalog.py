@@ -7,23 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import bags, facts, geometry, islands, tables
-
-QUERIES, SQL = {}, {}
-
-
-def query(sql: str | None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
-def table(spark, sf_dir, name):
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
+from .registry import QUERIES, SQL, query, table  # noqa: F401
 
 LINK = r'<a href="([^"]+)"'
 _anchors = f"select page_id, unnest(regexp_extract_all(html, '{LINK}', 1)) as uri, generate_subscripts(regexp_extract_all(html, '{LINK}', 1), 1) - 1 as pos from pages"
@@ -468,3 +452,6 @@ def md_facts(spark, sf_dir):
     p = table(spark, sf_dir, "part")
     line = F.concat(F.lit("see ["), "p_name", F.lit("](#a) :chip["), "p_brand", F.lit("] **"), "p_name", F.lit("** x[^"), F.col("p_size").cast("string"), F.lit("] ![f]("), F.col("p_partkey").cast("string"), F.lit(".png)"))
     return facts.line_facts(p.select("p_partkey", line.alias("line")), "line")
+
+
+from . import card  # noqa: E402, F401

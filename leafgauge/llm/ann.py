@@ -20,11 +20,13 @@ from .common import cut, spread
 from .vectors import finite
 
 #: Neighbours of a node, and of those that have it as neighbour how many are looked at; orders that start the graph.
-NEIGHBOURS, REVERSE, ORDERS, RUN = 24, 16, 4, 128
+NEIGHBOURS, REVERSE, ORDERS, RUN = 32, 24, 4, 128
 #: Rounds at most, and the part of all neighbours that must change for one more; offers of a group to a member.
-ROUNDS, CHANGED, OFFERS = 12, 0.002, 12
+ROUNDS, CHANGED, OFFERS = 12, 0.002, 16
 #: Best nodes a walk keeps (at least 4 k), looks at in a step, and steps at most; longest, and other, nodes that all walks know.
-BEAM, LOOKS, STEPS, STARTS = 128, 48, 60, 128
+BEAM, LOOKS, STEPS, STARTS = 192, 48, 60, 128
+#: Nodes to a file of the graph at least, beyond a few files.
+PART, FEW = 1000, 12
 NEAR = "array<struct<d:double,w:bigint,fresh:boolean>>"
 
 
@@ -210,19 +212,19 @@ def _offers(graph: DataFrame, coded: DataFrame) -> DataFrame:
     return groups.mapInArrow(work, "u bigint, w bigint, d double")
 
 
-def _descended(coded: DataFrame) -> DataFrame:
+def _descended(coded: DataFrame, parts: int) -> DataFrame:
     """Rows (u, near) after rounds of NN-descent."""
-    graph = cut(_best(_started(coded).withColumn("fresh", F.lit(True))))
+    graph = cut(_best(_started(coded).withColumn("fresh", F.lit(True))), parts)
     every = graph.agg(F.sum(F.size("near"))).first()[0] or 0
     for _ in range(ROUNDS):
         known = graph.select("u", F.explode("near").alias("e")).select("u", "e.w", "e.d", F.lit(False).alias("fresh"))
-        graph = cut(_best(known.union(_offers(graph, coded).withColumn("fresh", F.lit(True)))))
+        graph = cut(_best(known.union(_offers(graph, coded).withColumn("fresh", F.lit(True)))), parts)
         if (graph.agg(F.sum(F.size(F.filter("near", lambda e: e["fresh"])))).first()[0] or 0) <= CHANGED * every:
             break
     return graph
 
 
-def _searched(queries: DataFrame, graph: DataFrame, coded: DataFrame, beam: int) -> DataFrame:
+def _searched(queries: DataFrame, graph: DataFrame, coded: DataFrame, beam: int, parts: int) -> DataFrame:
     """Rows (q, node): the best nodes at the end of each query's walk. queries: (q, v), q the node to start at."""
     starts = coded.orderBy(F.desc("far"), "id").limit(STARTS).union(coded.orderBy(F.xxhash64("id"), "id").limit(STARTS)).select("id", "code").distinct().collect()
     start_ids, start_codes = [r["id"] for r in starts], [bytes(r["code"]) for r in starts]
@@ -268,9 +270,9 @@ def _searched(queries: DataFrame, graph: DataFrame, coded: DataFrame, beam: int)
     schema = "q bigint, qv binary, beam array<struct<s:double,w:bigint,seen:boolean>>"
     back = _back(graph).groupBy(F.col("v").alias("u")).agg(F.collect_list("id").alias("back"))
     none = F.array().cast("array<bigint>")
-    adjacent = cut(graph.join(back, "u", "left").select("u", F.array_union(F.col("near.w"), F.coalesce("back", none)).alias("to")))
+    adjacent = cut(graph.join(back, "u", "left").select("u", F.array_union(F.col("near.w"), F.coalesce("back", none)).alias("to")), parts)
     codes = coded.select(F.col("id").alias("w"), "code")
-    walks = cut(spread(queries.join(coded.select(F.col("id").alias("q"), "code"), "q").select("q", "v", "code"), "q").mapInArrow(started, schema))
+    walks = cut(spread(queries.join(coded.select(F.col("id").alias("q"), "code"), "q").select("q", "v", "code"), "q").mapInArrow(started, schema), parts)
     for _ in range(STEPS):
         unseen = F.filter("beam", lambda x: ~x["seen"])
         open_ = walks.where(F.size(unseen) > 0)
@@ -278,7 +280,7 @@ def _searched(queries: DataFrame, graph: DataFrame, coded: DataFrame, beam: int)
         reach = fresh.join(adjacent, "u").groupBy("q").agg(F.array_distinct(F.flatten(F.collect_list("to"))).alias("to"))
         new = reach.join(walks.select("q", F.col("beam.w").alias("known")), "q").select("q", F.explode(F.array_except("to", "known")).alias("w"))
         new = new.join(codes, "w").groupBy("q").agg(F.collect_list(F.struct("w", "code")).alias("new"))
-        walks = cut(walks.join(new, "q", "left").select("q", "qv", "beam", "new").mapInArrow(merged, schema))
+        walks = cut(walks.join(new, "q", "left").select("q", "qv", "beam", "new").mapInArrow(merged, schema), parts)
         if walks.where(F.size(unseen) > 0).isEmpty():
             break
     return walks.select("q", F.explode("beam").alias("x")).select("q", F.col("x.w").alias("node"))
@@ -295,18 +297,19 @@ def nearest(vectors: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec
     """
     rows = finite(vectors, id_col, vector_col).where(F.exists("v", lambda x: x != 0)).withColumn("h", F.xxhash64("v"))
     rows = cut(rows.dropDuplicates(["id", "h", "v"]).withColumn("row", F.monotonically_increasing_id()))
-    if rows.isEmpty():
+    parts = rows.count() // PART + FEW
+    if parts == FEW and rows.isEmpty():
         return rows.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     members = rows.withColumn("n", F.row_number().over(Window.partitionBy("h", "v").orderBy("id"))).where(F.col("n") <= k + 1)
-    members = cut(members.withColumn("node", F.min("row").over(Window.partitionBy("h", "v"))))
+    members = cut(members.withColumn("node", F.min("row").over(Window.partitionBy("h", "v"))), parts)
     nodes = members.where("n = 1").select(F.col("node").alias("id"), "v", "h")
-    coded = cut(spread(_coded(nodes, _Coder(nodes)), "id"))
-    graph = _descended(coded)
+    coded = cut(spread(_coded(nodes, _Coder(nodes)), "id"), parts)
+    graph = _descended(coded, parts)
     asked = rows.where(F.col("id") % every == 0).select(F.col("id").alias("query_id"), "v", "h")
-    asked = cut(asked.join(nodes.select(F.col("id").alias("q"), F.col("v").alias("nv"), "h"), "h").where("v = nv").select("query_id", "q"))
+    asked = cut(asked.join(nodes.select(F.col("id").alias("q"), F.col("v").alias("nv"), "h"), "h").where("v = nv").select("query_id", "q"), parts)
     qv = nodes.select(F.col("id").alias("q"), F.col("v").alias("qv"))
     beam = max(BEAM, 4 * k)
-    walked = _searched(asked.select("q").distinct().join(qv.withColumnRenamed("qv", "v"), "q"), graph, coded, beam)
+    walked = _searched(asked.select("q").distinct().join(qv.withColumnRenamed("qv", "v"), "q"), graph, coded, beam, parts)
     pairs = walked.join(nodes.select(F.col("id").alias("node"), "v"), "node").join(qv, "q")
     product = F.aggregate(F.zip_with("qv", "v", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
     scores = pairs.select("q", "node", product.alias("score"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 import zipfile
@@ -40,10 +41,18 @@ def ship(spark: SparkSession) -> None:
     context._leafgauge_shipped = True
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Compute df once into the shared checkpoint folder; later reads survive lost executors and repeat no work."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut(df: DataFrame, parts: int | None = None) -> DataFrame:
+    """Compute df once into the shared checkpoint folder; later reads survive lost executors and repeat no work.
+
+    parts: write at most so many files, for frames that are small beside the shuffle before them. What only the cut
+    lineage needed, shuffle files above all, goes when the driver's collector sees that it is gone, so it is asked to look.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    out = (df.coalesce(parts) if parts else df).checkpoint(eager=True)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return out
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -28,24 +28,6 @@ def numeric_rows(cells: DataFrame, by: list[str]) -> DataFrame:
     return per.withColumn("majority", F.col("numeric") >= F.greatest(F.lit(2), F.floor(F.col("n") / 2) + 1))
 
 
-def seams(cells: DataFrame, by: list[str]) -> DataFrame:
-    """Cells that end without a full stop above one that begins with a small letter: a row torn in two."""
-    cells = cells.withColumn("below", F.lead("cell").over(Window.partitionBy(*by, "col").orderBy("row")))
-    return cells.where((F.col("cell") != "") & ~F.col("cell").rlike("[.!?:”\"’]$") & F.col("below").rlike("^[a-z]"))
-
-
-def merge_continuations(cells: DataFrame, by: list[str]) -> DataFrame:
-    """Rows whose first cell is empty and whose next begins with a small letter join the row above, cell by cell."""
-    first = F.max(F.when(F.col("col") == 0, F.col("cell"))).over(Window.partitionBy(*by, "row"))
-    low = F.max(F.when((F.col("col") > 0) & F.col("cell").rlike("^[a-z]"), 1).otherwise(0)).over(Window.partitionBy(*by, "row"))
-    new = F.when((first == "") & (low == 1) & (F.col("row") > 0), 0).otherwise(1)
-    marked = cells.withColumn("_new", new)
-    group = F.sum("_new").over(Window.partitionBy(*by, "col").orderBy("row"))
-    marked = marked.withColumn("row2", (group - 1).cast("int"))
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("cell") != "", F.struct("row", "cell")))), lambda x: x["cell"]), " ")
-    return marked.groupBy(*by, F.col("row2").alias("row"), "col").agg(joined.alias("cell"))
-
-
 def row_html(cells: Column, tag: str = "td") -> Column:
     return F.concat(F.lit("<tr>"), F.array_join(F.transform(cells, lambda x: F.concat(F.lit(f"<{tag}>"), x, F.lit(f"</{tag}>"))), ""), F.lit("</tr>"))
 

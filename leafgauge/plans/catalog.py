@@ -34,14 +34,14 @@ def tokens_squash(spark, sf_dir):
     return d.select("doc_id", T.tokens(F.col("text")).alias("words"), T.squash(F.col("text")).alias("squashed"))
 
 
-_dirty = "left(text, 40) || case doc_id % 5 when 0 then 'ﬁne' when 1 then 'ze​ro' when 2 then 'a b' when 3 then '‘q’' else 'self-  made' end"
+_dirty = "text || case doc_id % 6 when 5 then 'ﬅer' when 0 then 'ﬁne' when 1 then 'ze​ro' when 2 then 'a b' when 3 then '‘q’' else 'self-  made' end"
 
 
-@query(f"""select doc_id, translate(regexp_replace(replace(replace({_dirty}, 'ﬁ', 'fi'), '​', ''), '([\\p{{L}}\\p{{N}}_])-\\s+([a-z])', '\\1-\\2', 'g'), '‘’ ', chr(39) || chr(39) || ' ') as norm from documents""")
+@query(f"""select doc_id, translate(regexp_replace(replace(replace(replace({_dirty}, 'ﬁ', 'fi'), 'ﬅ', 'ft'), '​', ''), '([\\p{{L}}\\p{{N}}_])-\\s+([a-z])', '\\1-\\2', 'g'), '‘’ ', chr(39) || chr(39) || ' ') as norm from documents""")
 def normalize(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
     add = F.element_at(F.array(*map(F.lit, ("ﬁne", "ze​ro", "a b", "‘q’", "self-  made"))), (F.col("doc_id") % 5 + 1).cast("int"))
-    return d.select("doc_id", T.normalize(F.concat(F.substring("text", 1, 40), add)).alias("norm"))
+    return d.select("doc_id", T.normalize(F.concat("text", add)).alias("norm"))
 
 
 _dec = "replace(replace(replace(replace(replace(replace({}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', chr(39)), '&nbsp;', chr(160)), '&amp;', '&')"
@@ -98,11 +98,11 @@ def interval_merge(spark, sf_dir):
     return islands.merge_intervals(l.select("l_orderkey", day.cast("int").alias("s"), (day + F.col("l_quantity")).cast("int").alias("e")), ["l_orderkey"], "s", "e", 2)
 
 
-@query("""with p as (select distinct o_custkey % 50 as grp, o_orderkey as at, 'p' || (o_orderkey // 10) as mark from orders where o_orderkey % 10 = 0),
-f as (select o_custkey % 50 as grp, o_orderkey as at from orders where o_orderkey % 10 <> 0)
+@query("""with p as (select distinct o_custkey // 30 as grp, o_orderkey as at, 'p' || (o_orderkey // 10) as mark from orders where o_orderkey % 10 = 0),
+f as (select o_custkey // 30 as grp, o_orderkey as at from orders where o_orderkey % 10 <> 0)
 select f.grp, f.at, p.mark from f asof left join p on f.grp = p.grp and f.at >= p.at""")
 def token_page_asof(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").select((F.col("o_custkey") % 50).alias("grp"), F.col("o_orderkey").alias("at"))
+    o = table(spark, sf_dir, "orders").select(F.expr("o_custkey div 30").alias("grp"), F.col("o_orderkey").alias("at"))
     marks = o.where("at % 10 = 0").withColumn("mark", F.concat(F.lit("p"), F.expr("at div 10").cast("string"))).distinct()
     return islands.as_of(o.where("at % 10 <> 0"), marks, ["grp"], "at", "mark")
 
@@ -169,24 +169,6 @@ def list_levels(spark, sf_dir):
     return v.select("p_brand", F.size(islands.tiers(F.col("a"))).cast("bigint").alias("n_tiers"))
 
 
-@query("""select event_type, count(*)::bigint as n, count(distinct user_id)::bigint as users, list_sort(list(distinct user_id))[1:3] as samples, round(avg(value), 4) as mean from events group by 1""")
-def census(spark, sf_dir):
-    e = table(spark, sf_dir, "events").groupBy("event_type")
-    return e.agg(F.count("*").alias("n"), F.countDistinct("user_id").alias("users"), F.slice(F.sort_array(F.collect_set("user_id")), 1, 3).alias("samples"), F.round(F.avg("value"), 4).alias("mean"))
-
-
-@query("""select item_id, doc_id from benchmark b join documents d on contains(regexp_replace(d.text, '\\s+', '', 'g'), regexp_replace(b.text, '\\s+', '', 'g'))""")
-def passage_containment(spark, sf_dir):
-    """Passages join on their first eight words, the documents' runs of eight words being the other side; then the whole is compared."""
-    lead = lambda w, i: F.array_join(F.slice(w, i, 8), " ")
-    b = table(spark, sf_dir, "benchmark").select("item_id", T.tokens(F.col("text")).alias("w"), T.squash(F.col("text")).alias("sq"))
-    b = b.select("item_id", "sq", lead(F.slice("w", 2, 8), 1).alias("k"))
-    d = table(spark, sf_dir, "documents").select("doc_id", T.tokens(F.col("text")).alias("w"))
-    runs = d.where("size(w) >= 8").select("doc_id", F.explode(F.expr("array_distinct(transform(sequence(1, size(w) - 7), i -> array_join(slice(w, i, 8), ' ')))")).alias("k"))
-    hit = runs.join(b, "k").select("doc_id", "item_id", "sq").distinct()
-    return hit.join(d.select("doc_id", F.array_join("w", "").alias("dsq")), "doc_id").where(F.col("dsq").contains(F.col("sq"))).select("item_id", "doc_id")
-
-
 @query("""with s as (select l.doc_id, quality, toxic, length(text) > 1000 as long from labels l join documents d using (doc_id)) select quality, toxic, count(*)::bigint as tried, sum(long::int)::bigint as caught, round(avg(long::int), 6) as recall from s group by 1, 2""")
 def recall_by_class(spark, sf_dir):
     s = table(spark, sf_dir, "labels").join(table(spark, sf_dir, "documents"), "doc_id").withColumn("c", (F.length("text") > 1000).cast("int"))
@@ -218,28 +200,14 @@ def accepted_anti(spark, sf_dir):
     return bags.accepted_out(f, f.where("page % 2 = 0").select("invariant", "page").distinct())
 
 
-@query("""with t as (select page_id, unnest(regexp_split_to_array(lower(regexp_replace(html, '<[^>]+>', ' ', 'g')), '[^\\p{L}\\p{N}]+')) as term from pages)
-select page_id, count(*)::bigint as tf from t where term in ('the', 'and', 'of') group by 1 having count(distinct term) = 3""")
-def search_and(spark, sf_dir):
-    t = table(spark, sf_dir, "pages").select("page_id", F.explode(F.split(F.lower(T.strip_tags(F.col("html"), " ")), r"[^\p{L}\p{N}]+")).alias("term"))
-    return t.where(F.col("term").isin("the", "and", "of")).groupBy("page_id").agg(F.count("*").alias("tf"), F.countDistinct("term").alias("k")).where("k = 3").drop("k")
-
-
-@query("""select page_id, url || '#h1' as url, trim(regexp_replace(regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1), '<[^>]+>', '', 'g')) as title, length(regexp_replace(regexp_extract(html, '(?s)</h1>(.*?)</article>', 1), '<[^>]+>', ' ', 'g'))::int as n_chars from pages""")
-def section_records(spark, sf_dir):
-    p = table(spark, sf_dir, "pages")
-    body = T.strip_tags(F.regexp_extract("html", r"(?s)</h1>(.*?)</article>", 1), " ")
-    return p.select("page_id", F.concat("url", F.lit("#h1")).alias("url"), T.trim(T.strip_tags(F.regexp_extract("html", r"(?s)<h1>(.*?)</h1>", 1))).alias("title"), F.length(body).alias("n_chars"))
-
-
-_tbl = """select o_custkey % 100 as tid, '<table>' || string_agg('<tr><td>' || case when o_orderkey % 5 = 0 then '' else o_orderkey::varchar end || '</td><td>' || case when o_orderkey % 5 = 0 then lower(o_orderpriority) else o_orderpriority end || '</td><td>' || o_orderstatus || '</td></tr>', '' order by o_orderkey) || '</table>' as html from orders group by 1"""
+_tbl = """select o_custkey as tid, '<table>' || string_agg('<tr><td>' || case when o_orderkey % 5 = 0 then '' else o_orderkey::varchar end || '</td><td>' || case when o_orderkey % 5 = 0 then lower(o_orderpriority) else o_orderpriority end || '</td><td>' || o_orderstatus || '</td></tr>', '' order by o_orderkey) || '</table>' as html from orders group by 1"""
 
 
 def order_tables(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     torn = F.col("o_orderkey") % 5 == 0
     cells = F.array(F.when(torn, "").otherwise(F.col("o_orderkey").cast("string")), F.when(torn, F.regexp_replace(F.lower("o_orderpriority"), r"^\d-", "")).otherwise(F.col("o_orderpriority")), F.col("o_orderstatus"))
-    return o.groupBy((F.col("o_custkey") % 100).alias("tid")).agg(F.concat(F.lit("<table>"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", tables.row_html(cells).alias("r")))), lambda x: x["r"]), ""), F.lit("</table>")).alias("html"))
+    return o.groupBy(F.col("o_custkey").alias("tid")).agg(F.concat(F.lit("<table>"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", tables.row_html(cells).alias("r")))), lambda x: x["r"]), ""), F.lit("</table>")).alias("html"))
 
 
 _tbl = _tbl.replace("lower(o_orderpriority)", "regexp_replace(lower(o_orderpriority), '^\\d-', '')")
@@ -253,29 +221,18 @@ def html_grid(spark, sf_dir):
     return g.groupBy("tid").agg(F.countDistinct("row").alias("n_rows"), F.count("*").alias("n_cells"), F.sum((F.col("cell") == "").cast("int")).alias("empties"))
 
 
-@query(f"""with {_grid}, l as (select *, lead(cell) over (partition by tid, col order by row) as below from g) select tid, row, col, cell, below from l where cell <> '' and not regexp_matches(cell, '[.!?:”"’]$') and regexp_matches(below, '^[a-z]')""")
-def seam_audit(spark, sf_dir):
-    return tables.seams(tables.grid(order_tables(spark, sf_dir), "html"), ["tid"]).select("tid", "row", "col", "cell", "below")
-
-
 @query(f"with {_grid} select tid, row, count(*)::bigint as n, sum((cell = '' or regexp_full_match(cell, '[\\d.,%±()\\s/x×*+-]+'))::int)::bigint as numeric, sum((cell = '' or regexp_full_match(cell, '[\\d.,%±()\\s/x×*+-]+'))::int) >= greatest(2, count(*) // 2 + 1) as majority from g group by 1, 2")
 def numeric_rows(spark, sf_dir):
     return tables.numeric_rows(tables.grid(order_tables(spark, sf_dir), "html"), ["tid"])
 
 
-@query(f"""with {_grid}, m as (select *, case when max(case when col = 0 then cell end) over (partition by tid, row) = '' and max((col > 0 and regexp_matches(cell, '^[a-z]'))::int) over (partition by tid, row) = 1 and row > 0 then 0 else 1 end as new from g),
-i as (select *, sum(new) over (partition by tid, col order by row rows unbounded preceding) - 1 as r2 from m) select tid, r2::int as row, col, coalesce(string_agg(case when cell <> '' then cell end, ' ' order by row), '') as cell from i group by 1, 2, 3""")
-def continuation_rows(spark, sf_dir):
-    return tables.merge_continuations(tables.grid(order_tables(spark, sf_dir), "html"), ["tid"])
-
-
-_span = "select l_orderkey % 200 as page, l_orderkey * 10 + l_linenumber as id, (l_partkey % 300)::double as x0, (l_suppkey % 400)::double as y0, l_partkey % 300 + l_quantity as x1, l_suppkey % 400 + l_discount * 100 as y1 from lineitem"
+_span = "select l_orderkey // 16 as page, l_orderkey * 10 + l_linenumber as id, (l_partkey % 300)::double as x0, (l_suppkey % 400)::double as y0, l_partkey % 300 + l_quantity as x1, l_suppkey % 400 + l_discount * 100 as y1 from lineitem"
 
 
 def spans(spark, sf_dir):
     l = table(spark, sf_dir, "lineitem")
     x, y = F.col("l_partkey") % 300, F.col("l_suppkey") % 400
-    return l.select((F.col("l_orderkey") % 200).alias("page"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), x.cast("double").alias("x0"), y.cast("double").alias("y0"), (x + F.col("l_quantity")).alias("x1"), (y + F.col("l_discount") * 100).alias("y1"))
+    return l.select(F.expr("l_orderkey div 16").alias("page"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), x.cast("double").alias("x0"), y.cast("double").alias("y0"), (x + F.col("l_quantity")).alias("x1"), (y + F.col("l_discount") * 100).alias("y1"))
 
 
 @query(f"""with s as ({_span}), c as (select page, id, x1 - x0 as w, y1 - y0 as h from s)
@@ -285,12 +242,12 @@ def drawing_classes(spark, sf_dir):
     return s.select("id", geometry.drawing_class(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"), F.col("id") % 4 == 0, F.col("id") % 3 > 0).alias("class"))
 
 
-@query(f"""with s as ({_span}), i as (select * from s where id % 10 = 1), o as (select page, id as oid, x0 - 20 as x0, y0 - 5 as y0, x1 + 20 as x1, y1 + 5 as y1 from s where id % 10 = 2)
+@query(f"""with s as ({_span}), i as (select * from s where id % 2 = 1), o as (select page, id as oid, x0 - 20 as x0, y0 - 5 as y0, x1 + 20 as x1, y1 + 5 as y1 from s where id % 2 = 0)
 select page, id, oid from (select i.page, i.id, o.oid, row_number() over (partition by i.page, i.id order by (o.x1 - o.x0) * (o.y1 - o.y0), o.oid) as n from i join o on i.page = o.page and i.x0 >= o.x0 - 4 and i.y0 >= o.y0 - 4 and i.x1 <= o.x1 + 4 and i.y1 <= o.y1 + 4) where n = 1""")
 def smallest_box(spark, sf_dir):
     s = spans(spark, sf_dir)
-    i = s.where("id % 10 = 1").select("page", "id", *(F.col(k).alias(f"i_{k}") for k in ("x0", "y0", "x1", "y1")))
-    o = s.where("id % 10 = 2").select("page", F.col("id").alias("oid"), (F.col("x0") - 20).alias("o_x0"), (F.col("y0") - 5).alias("o_y0"), (F.col("x1") + 20).alias("o_x1"), (F.col("y1") + 5).alias("o_y1"))
+    i = s.where("id % 2 = 1").select("page", "id", *(F.col(k).alias(f"i_{k}") for k in ("x0", "y0", "x1", "y1")))
+    o = s.where("id % 2 = 0").select("page", F.col("id").alias("oid"), (F.col("x0") - 20).alias("o_x0"), (F.col("y0") - 5).alias("o_y0"), (F.col("x1") + 20).alias("o_x1"), (F.col("y1") + 5).alias("o_y1"))
     return geometry.smallest_holder(i, o, ["page"], "id", "oid")
 
 
@@ -322,17 +279,6 @@ def events_window(spark, sf_dir):
     return e.select(F.col("w.start").cast("timestamp_ntz").alias("start"), "event_type", "n", "total")
 
 
-@query("""select lang, source, string_agg(doc_id::varchar, ',' order by doc_id) as ids, count(*)::bigint as n from documents group by 1, 2""")
-def stitched(spark, sf_dir):
-    ids = F.array_join(F.transform(F.array_sort(F.collect_list("doc_id")), lambda x: x.cast("string")), ",")
-    return table(spark, sf_dir, "documents").groupBy("lang", "source").agg(ids.alias("ids"), F.count("*").alias("n"))
-
-
-@query("""select user_id, list(value order by value)[len(list(value)) // 2 + 1] as upper_median from events group by 1""")
-def upper_median(spark, sf_dir):
-    return table(spark, sf_dir, "events").groupBy("user_id").agg(F.sort_array(F.collect_list("value")).alias("v")).select("user_id", F.element_at("v", (F.floor(F.size("v") / 2) + 1).cast("int")).alias("upper_median"))
-
-
 @query("""select page_id, len(regexp_extract_all(html, '<p[ >]'))::int as p, len(regexp_extract_all(html, '<li[ >]'))::int as li, len(regexp_extract_all(html, '<a '))::int as a from pages""")
 def html_tag_counts(spark, sf_dir):
     count = lambda pattern: F.regexp_count("html", F.lit(pattern))
@@ -366,7 +312,7 @@ def quote_join(spark, sf_dir):
     return facts.quote_gaps(l, ["doc_id"], "i", "line")
 
 
-@query("""with s as (select l_orderkey % 10 as grp, l_orderkey // 40 as page, l_suppkey % 400 as y, l_orderkey * 10 + l_linenumber as id, l_linenumber as k, l_partkey from lineitem),
+@query("""with s as (select l_orderkey // 400 as grp, l_orderkey // 40 as page, l_suppkey % 400 as y, l_orderkey * 10 + l_linenumber as id, l_linenumber as k, l_partkey from lineitem),
 h as (select * from s where k = 1 and l_partkey % 7 = 0), d as (select * from s where k = 2),
 a as (select d.grp, d.page, d.y, arg_max(h.id, h.y * 10000000000 + h.id) as v from d join h on d.grp = h.grp and d.page = h.page and h.y <= d.y + 8 group by 1, 2, 3),
 f as (select grp, page, arg_min(id, y * 10000000000 + id) as v from h group by 1, 2),
@@ -374,7 +320,7 @@ p as (select d.grp, d.page, arg_max(h.id, h.page::hugeint * 100000000000000 + h.
 select d.grp, d.id, coalesce(a.v, f.v, p.v) as head from d left join a on d.grp = a.grp and d.page = a.page and d.y = a.y left join f on d.grp = f.grp and d.page = f.page left join p on d.grp = p.grp and d.page = p.page""")
 def asof_heading(spark, sf_dir):
     l = table(spark, sf_dir, "lineitem")
-    s = l.select((F.col("l_orderkey") % 10).alias("grp"), F.expr("l_orderkey div 40").alias("page"), (F.col("l_suppkey") % 400).cast("double").alias("y"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), F.col("l_linenumber").alias("k"), "l_partkey")
+    s = l.select(F.expr("l_orderkey div 400").alias("grp"), F.expr("l_orderkey div 40").alias("page"), (F.col("l_suppkey") % 400).cast("double").alias("y"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), F.col("l_linenumber").alias("k"), "l_partkey")
     heads = s.where("k = 1 and l_partkey % 7 = 0").select("grp", "page", "y", F.col("id").alias("head"))
     return islands.heading_of(s.where("k = 2").select("grp", "page", "y", "id"), heads, ["grp"]).select("grp", "id", "head")
 
@@ -395,28 +341,20 @@ def mutations(spark, sf_dir):
     return mutated(spark, sf_dir).select("doc_id", "kind", F.size("v").alias("n"), F.md5(F.array_join("v", " ")).alias("h"))
 
 
-@query(f"with {_mut} select kind, count(*)::bigint as tried, sum((list_sort(w) <> list_sort(v))::int)::bigint as by_bag, sum((w <> v)::int)::bigint as by_order from m group by 1")
-def mutate_recall(spark, sf_dir):
-    """How many of the mutations of each kind a comparison of bags notices, and how many one of sequences."""
-    hit = lambda c: F.sum(F.when(c, 1).otherwise(0))
-    m = mutated(spark, sf_dir)
-    return m.groupBy("kind").agg(F.count("*").alias("tried"), hit(F.sort_array("w") != F.sort_array("v")).alias("by_bag"), hit(F.col("w") != F.col("v")).alias("by_order"))
-
-
-@query("""with l as (select l_returnflag as key, l_orderkey // 100 as page, l_linenumber as k from lineitem), s as (select key, page, count(*)::bigint as n_src from l group by 1, 2),
+@query("""with l as (select l_partkey as key, l_orderkey // 100 as page, l_linenumber as k from lineitem), s as (select key, page, count(*)::bigint as n_src from l group by 1, 2),
 o as (select key, page, count(*)::bigint as n_out from (select key, case when k = 7 then page + 1 else page end as page from l where k <> 6) group by 1, 2), b as (select key, page, coalesce(n_src, 0) as n_src, coalesce(n_out, 0) as n_out from s full join o using (key, page)),
 w as (select *, sum(n_src) over w as a, sum(n_out) over w as c from b window w as (partition by key order by page range between 1 preceding and 1 following)) select key, page, n_src, n_out from w where n_out < n_src and c < a""")
 def s2_chips(spark, sf_dir):
-    l = table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("key"), F.expr("l_orderkey div 100").alias("page"), F.col("l_linenumber").alias("k"))
+    l = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("key"), F.expr("l_orderkey div 100").alias("page"), F.col("l_linenumber").alias("k"))
     out = l.where("k <> 6").withColumn("page", F.when(F.col("k") == 7, F.col("page") + 1).otherwise(F.col("page")))
     return bags.window_deficit(l, out, ["key"], "page")
 
 
-@query("""with r as (select o_custkey % 50 as sec, o_orderkey % 97 as n from orders where o_orderstatus = 'O' and o_orderkey % 3 = 0), d as (select o_custkey % 50 as sec, o_orderkey % 97 as n from orders where o_orderstatus = 'F' and o_orderkey % 3 = 0)
+@query("""with r as (select o_custkey // 30 as sec, o_orderkey % 97 as n from orders where o_orderstatus <> 'F'), d as (select o_custkey // 30 as sec, o_orderkey % 97 as n from orders where o_orderstatus = 'F')
 select distinct sec, n, 'undefined' as kind from r anti join d using (sec, n) union all select distinct sec, n, 'unused' from d anti join r using (sec, n) union all select sec, n, 'twice' from d group by 1, 2 having count(*) > 1""")
 def fn1_footnotes(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").where("o_orderkey % 3 = 0").select((F.col("o_custkey") % 50).alias("sec"), (F.col("o_orderkey") % 97).alias("n"), "o_orderstatus")
-    return bags.footnote_flags(o.where("o_orderstatus = 'O'").select("sec", "n"), o.where("o_orderstatus = 'F'").select("sec", "n"), ["sec", "n"])
+    o = table(spark, sf_dir, "orders").select(F.expr("o_custkey div 30").alias("sec"), (F.col("o_orderkey") % 97).alias("n"), "o_orderstatus")
+    return bags.footnote_flags(o.where("o_orderstatus <> 'F'").select("sec", "n"), o.where("o_orderstatus = 'F'").select("sec", "n"), ["sec", "n"])
 
 
 @query("""with s as (select l_partkey as key, l_orderkey // 100 as page, l_linenumber as k from lineitem), a as (select key, page as page_a, row_number() over (partition by key order by page) as k from s where k = 1), b as (select key, page as page_b, row_number() over (partition by key order by page) as k from s where k = 2)
@@ -431,18 +369,12 @@ def modal_value(spark, sf_dir):
     return islands.most_common(table(spark, sf_dir, "events"), ["user_id"], "event_type", "event_id")
 
 
-@query(f"with {_grid} select tid, count(distinct row)::bigint as n_rows from g group by 1 order by n_rows desc, tid limit 15")
-def topk_tables(spark, sf_dir):
-    g = tables.grid(order_tables(spark, sf_dir), "html").groupBy("tid").agg(F.countDistinct("row").alias("n_rows"))
-    return g.orderBy(F.desc("n_rows"), "tid").limit(15)
-
-
-_quoted = "'\"' || left(text, 20) || '\" it' || chr(39) || 's (' || chr(39) || 'x' || chr(39) || ') ' || chr(39) || '90s'"
+_quoted = "'\"' || text || '\" it' || chr(39) || 's (' || chr(39) || 'x' || chr(39) || ') ' || chr(39) || '90s'"
 
 
 @query(f"""select doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace({_quoted}, '(^|[\\s(\\[{{=—–‘“>])"', '\\1“', 'g'), '"', '”', 'g'), chr(39) || '(\\d)', '’\\1', 'g'), '(^|[\\s(\\[{{=—–‘“>])' || chr(39), '\\1‘', 'g'), chr(39), '’', 'g') as q from documents""")
 def smart_quotes(spark, sf_dir):
-    q = F.concat(F.lit('"'), F.substring("text", 1, 20), F.lit("\" it's ('x') '90s"))
+    q = F.concat(F.lit('"'), "text", F.lit("\" it's ('x') '90s"))
     return table(spark, sf_dir, "documents").select("doc_id", T.smart_quotes(q).alias("q"))
 
 
@@ -454,4 +386,4 @@ def md_facts(spark, sf_dir):
     return facts.line_facts(p.select("p_partkey", line.alias("line")), "line")
 
 
-from . import card  # noqa: E402, F401
+from . import card, repair, site  # noqa: E402, F401

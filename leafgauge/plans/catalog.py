@@ -386,4 +386,4 @@ def md_facts(spark, sf_dir):
     return facts.line_facts(p.select("p_partkey", line.alias("line")), "line")
 
 
-from . import card, repair, site  # noqa: E402, F401
+from . import card, repair, sheet, site  # noqa: E402, F401

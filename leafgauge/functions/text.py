@@ -59,6 +59,18 @@ def unescape(c: Column) -> Column:
     return c
 
 
+@pandas_udf(StringType())
+def _decoded(s: pd.Series) -> pd.Series:
+    import html
+
+    return s.map(lambda x: None if x is None else html.unescape(x))
+
+
+def decoded(c: Column) -> Column:
+    """All named and numbered entities; texts without an ampersand never leave the JVM's value."""
+    return F.when(c.contains("&"), _decoded(c)).otherwise(c)
+
+
 def cell_key(c: Column) -> Column:
     """What cells are compared by: no tags, entities, blanks; quotes and dashes plain."""
     c = F.regexp_replace(unescape(strip_tags(c)), r"(?U)\s+", "")

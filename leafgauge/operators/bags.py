@@ -57,6 +57,17 @@ def severity(n: Column, at_least: int = 3) -> Column:
     return F.when(n >= at_least, "major").otherwise("minor")
 
 
+def auto_link(uri: Column, anchor: Column) -> Column:
+    """Whether a link is one that the writing program made of plain text by itself: http, and the text is part of it."""
+    bare = F.regexp_replace(F.trim(anchor), "/+$", "")
+    return uri.startswith("http://") & uri.contains(bare)
+
+
+def unterminated(text: Column) -> Column:
+    """Whether a text doesn't end like a sentence."""
+    return ~text.rlike("[.!?:”\"’]$")
+
+
 def pair_up(left: DataFrame, right: DataFrame, key: str, page: str, reach: int = 2) -> DataFrame:
     """k-th left row with the k-th right row of the same key, if their pages are at most `reach` apart."""
     w = Window.partitionBy(key).orderBy(page)

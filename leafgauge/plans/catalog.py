@@ -40,7 +40,7 @@ _dirty = "text || case doc_id % 6 when 5 then 'ﬅer' when 0 then 'ﬁne' when 1
 @query(f"""select doc_id, translate(regexp_replace(replace(replace(replace({_dirty}, 'ﬁ', 'fi'), 'ﬅ', 'ft'), '​', ''), '([\\p{{L}}\\p{{N}}_])-\\s+([a-z])', '\\1-\\2', 'g'), '‘’ ', chr(39) || chr(39) || ' ') as norm from documents""")
 def normalize(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
-    add = F.element_at(F.array(*map(F.lit, ("ﬁne", "ze​ro", "a b", "‘q’", "self-  made"))), (F.col("doc_id") % 5 + 1).cast("int"))
+    add = F.element_at(F.array(*map(F.lit, ("ﬁne", "ze​ro", "a b", "‘q’", "self-  made", "ﬅer"))), (F.col("doc_id") % 6 + 1).cast("int"))
     return d.select("doc_id", T.normalize(F.concat("text", add)).alias("norm"))
 
 
@@ -386,4 +386,4 @@ def md_facts(spark, sf_dir):
     return facts.line_facts(p.select("p_partkey", line.alias("line")), "line")
 
 
-from . import card, repair, sheet, site  # noqa: E402, F401
+from . import card, repair, serial, sheet, site  # noqa: E402, F401

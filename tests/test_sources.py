@@ -17,7 +17,7 @@ def test_sections_and_figures(spark, tmp_path):
 
 def test_lists_and_registry(spark, tmp_path):
     (tmp_path / "l.txt").write_text("page num type\n-----\n   4   0 image 640 480 rgb 3 8 image no 12 0 72 72 1K 2%\n")
-    assert [tuple(r) for r in sections.image_list(spark, str(tmp_path / "l.txt")).collect()] == [(4, 0, "image", 640, 480, "12")]
+    assert [tuple(r) for r in sections.image_list(spark, str(tmp_path / "l.txt")).collect()] == [(4, 0, "image", 640, 480, "rgb", 3, 8, "image", "no", "12", "0", 72, 72, "1K", "2%")]
     (tmp_path / "m.yaml").write_text('x: 1\nchips:\n  One: "#aabbcc"\n  Two: "#aabbcc"\n  Three: "#000000"\ny: 2\n')
     assert {tuple(r) for r in sections.chip_registry(spark, str(tmp_path / "m.yaml")).collect()} == {("#aabbcc", "Two"), ("#000000", "Three")}
 

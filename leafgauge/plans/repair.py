@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import tables
+from ..operators import table_spans, tables
 from .registry import query, table
 
 _LINES = "select l_orderkey as tid, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate) - 1 as r, l_partkey as a, l_suppkey as b, cast(l_quantity as int) as q, cast(floor(l_extendedprice) as bigint) as e from {lineitem}"
@@ -197,3 +197,60 @@ def wrapped_cells(spark, sf_dir):
 def table_row_keys(spark, sf_dir):
     d = _html9(spark, sf_dir).select("tid", F.posexplode(tables.parse(F.col("html"))).alias("row", "r"))
     return d.select("tid", "row", tables.row_key(d.r).alias("key"), tables.width(d.r).alias("width"))
+
+
+# Tables whose rows were damaged in a known way beside the spans of the page that they came from: repairs give the rows back.
+_CELLS = "select tid, r, a, b, 'M' || a || ' row' || r as c0, q || '.' || (a % 10) || 'x' || r as c1, e || '%y' || r as c2, 'w' || b || 'z' || r as c3, a % 6 as damage, b % 4 = 0 as bold from ({lines})"
+
+
+def _span(text, j, y, bold="false", zone="'body'"):
+    return f"named_struct('text', {text}, 'x0', cast({100 + 150 * j} as double), 'y0', cast({y} as double), 'x1', cast({100 + 150 * j} + 6 * length({text}) as double), 'y1', cast({y} + 10 as double), 'bold', {bold}, 'zone', {zone})"
+
+
+@query(f"""with l as ({_LINES.format(lineitem='lineitem')}), c as ({_CELLS.format(lines='select * from l')}), n as (select tid, sum(bold::int) / (4 * count(*))::double < 0.9 as signifies from c group by 1),
+x as (select c.tid, r, [case when damage = 5 then c0 || '<sup>[^7]</sup>' else c0 end, case when bold and signifies then '<b>' || c1 || '</b>' else c1 end, c2, c3] as cells from c join n using (tid))
+select tid, r::int as row, unnest(range(4))::int as col, unnest(cells) as cell from x""")
+def table_rows_mended(spark, sf_dir):
+    """Cells glued, parted at the wrong place, turned round or run together, and notes swallowed: as the page has them again."""
+    c = spark.sql(_CELLS.format(lines=_LINES.format(lineitem=f"parquet.`{sf_dir}/lineitem.parquet`")))
+    one = lambda x: f"named_struct('tag', 'td', 'attrs', '', 'html', {x})"
+    cells = {0: ("c0", "c1", "c2", "c3"), 1: ("c0", "c1 || ' ' || c2", "''", "c3"), 2: ("c0", "left(c1, 2)", "substring(c1, 3) || ' ' || c2", "c3"), 3: ("c0", "c2", "c3", "c1"), 4: ("c0 || ' ' || c1", "c2", "c3", "''"), 5: ("c0 || '7'", "c1", "c2", "c3")}
+    rows = "case damage " + " ".join(f"when {k} then array({', '.join(map(one, v))})" for k, v in cells.items()) + " end"
+    spans = ["array(" + ", ".join([_span("c0", 0, "40 * r"), _span("c1", 1, "40 * r", "bold"), _span("c2", 2, "40 * r"), _span("c3", 3, "40 * r")]) + ")"]
+    note = "named_struct('text', '7', 'x0', cast(101 + 6 * length(c0) as double), 'y0', cast(40 * r - 1 as double), 'x1', cast(105 + 6 * length(c0) as double), 'y1', cast(40 * r + 5 as double), 'bold', false, 'zone', 'fnref')"
+    spans.append(f"if(damage = 5, array({note}), array())")
+    c = c.select("tid", "r", F.expr(rows).alias("cells"), F.expr(f"concat({', '.join(spans)})").alias("s"))
+    per = c.groupBy("tid").agg(F.array_sort(F.collect_list(F.struct("r", "cells", "s"))).alias("x"))
+    out = table_spans.repair_all(per.select("tid", F.transform("x", lambda x: x["cells"]).alias("rows"), F.flatten(F.transform("x", lambda x: x["s"])).alias("spans")))
+    out = out.select("tid", F.posexplode("rows").alias("row", "r"))
+    return out.select("tid", "row", F.posexplode("r").alias("col", "c")).select("tid", "row", "col", F.col("c.html").alias("cell"))
+
+
+_TALL = "select tid, r, a, b, 'Lead' || a || ' of' || r as h, 'first line ' || a || ' of many words that stand in this long cell number' || r as t1, 'second line ' || b || ' with as many words as the first one has or more' as t2, 'third line after a gap ' || q || ' ends.' as t3, a % 4 as kind from ({lines}) where r = 0"
+
+
+@query(f"""with l as ({_LINES.format(lineitem='lineitem')}), c as ({_TALL.format(lines='select * from l')}) select tid, case kind when 0 then '<b>' || h || '</b> ' || t2 when 1 then '<p>' || t1 || ' ' || t2 || '</p><p>' || t3 || '</p>' when 2 then h || ' ' || t2 else h || ' ' || t3 end as cell, case when kind = 3 then ' colspan="2"' else '' end as attrs, 1::bigint as n from c""")
+def table_cells_mended(spark, sf_dir):
+    """Tall cells: bold leads, paragraphs, words that were cut off, rows that were one, headers over two columns."""
+    c = spark.sql(_TALL.format(lines=_LINES.format(lineitem=f"parquet.`{sf_dir}/lineitem.parquet`")))
+    cell = lambda x: f"named_struct('tag', 'td', 'attrs', '', 'html', {x})"
+    rows = f"""case kind when 0 then array(array({cell("h || ' ' || t2")})) when 1 then array(array({cell("t1 || ' ' || t2 || ' ' || t3")})) when 2 then if(b % 2 = 0, array(array({cell("h")})), array(array({cell("h")}), array({cell("t2")}))) else array(array({cell("h")}, {cell("t3")})) end"""
+    spans = f"""case kind when 0 then array({_span("h", 0, 0, "true")}, {_span("t2", 0, 12)}) when 1 then array({_span("t1", 0, 0)}, {_span("t2", 0, 12)}, {_span("t3", 0, 40)}) when 2 then array({_span("h", 0, 0)}, {_span("t2", 0, 12)}) else array({_span("h || ' ' || t3", 0, 0)}) end"""
+    out = table_spans.repair_all(c.select("tid", F.expr(rows).alias("rows"), F.expr(spans).alias("spans")))
+    out = out.select("tid", F.explode("rows").alias("r")).select("tid", F.explode("r").alias("c"))
+    return out.groupBy("tid").agg(F.first("c.html").alias("cell"), F.first("c.attrs").alias("attrs"), F.count("*").alias("n"))
+
+
+_hard, _hard_html = _fixture(("'td'", "case when a % 4 = 0 then ' rowspan=\"2\"' when a % 5 = 0 then ' colspan=\"2\"' else '' end", "'x' || b"), ("'td'", "''", "case when a % 7 = 0 then '<!-- p.' || a || ' -->' else 'y' end"))
+
+
+@query(f"""with {_hard}, c as (select tid, count(*)::bigint as tr, sum((cells[1].attrs like ' row%')::int)::bigint as rowspans, sum((cells[1].attrs like ' col%')::int)::bigint as colspans, sum((cells[2].html like '<!%')::int)::bigint as pages from rows group by 1) select *, row_number() over (order by pages desc, rowspans + colspans desc, tr desc, tid)::int as place from c qualify place <= 15""")
+def hard_tables(spark, sf_dir):
+    """The fifteen hardest tables: by pages inside, spans, then rows."""
+    t = _hard_html(spark, sf_dir)
+    n = lambda pattern: F.regexp_count("html", F.lit(pattern)).cast("bigint")
+    c = t.select("tid", n("<tr>").alias("tr"), n("rowspan=").alias("rowspans"), n("colspan=").alias("colspans"), n(r"<!-- p\.\d+ -->").alias("pages"))
+    best = c.orderBy(F.desc("pages"), F.desc(F.col("rowspans") + F.col("colspans")), F.desc("tr"), "tid").limit(15)  # a report: fifteen rows
+    from pyspark.sql import Window
+
+    return best.withColumn("place", F.row_number().over(Window.orderBy(F.desc("pages"), F.desc(F.col("rowspans") + F.col("colspans")), F.desc("tr"), "tid")))

@@ -80,3 +80,10 @@ def letter_list(items: Column) -> Column:
     letter = lambda x: F.regexp_extract(x, r"^([a-z])[.)]\s+", 1)
     every = F.forall(F.transform(items, lambda x, i: F.ascii(letter(x)) == 97 + i), lambda ok: ok)
     return F.when((F.size(items) >= 2) & every, F.transform(items, lambda x: F.regexp_replace(x, r"^[a-z][.)]\s+", "")))
+
+
+def article_html(c: Column) -> Column:
+    """A page's images loaded when they are seen, tables that may scroll, paragraphs that are captions of tables as such."""
+    c = F.regexp_replace(c, r"<img (?![^>]*\bloading=)", '<img loading="lazy" decoding="async" ')
+    c = F.regexp_replace(c, r'(?s)(?<!<div class="table-wrap">)(<table\b.*?</table>)', '<div class="table-wrap">$1</div>')
+    return F.regexp_replace(c, r"<p>(?=(?:\s|<[^>]+>)*\[(?:Table|Figure)\b)", '<p class="tablecap">')

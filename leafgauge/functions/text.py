@@ -110,3 +110,23 @@ def smart_quotes(c: Column) -> Column:
     c = F.regexp_replace(F.regexp_replace(c, before + '"', "$1“"), '"', "”")
     c = F.regexp_replace(c, r"'(?=\d)", "’")
     return F.regexp_replace(F.regexp_replace(c, before + "'", "$1‘"), "'", "’")
+
+
+#: Tags at which a sentence begins anew, and elements whose quotes stay as they are.
+BLOCK_TAG = r"^</?(?:p|div|li|ul|ol|t[dhr]|table|h[1-6]|blockquote|figcaption|aside|br|section|article)\b"
+VERBATIM = r"<(?:pre|code)\b[^>]*>.*?</(?:pre|code)>"
+
+
+def smart_quotes_html(c: Column) -> Column:
+    """smart_quotes of a page's text: tags and code stay, what stands before an inline tag counts, each block begins anew."""
+    pieces = F.regexp_extract_all(c, F.lit(f"(?s){VERBATIM}|<[^>]+>|[^<]+|<"), 0)
+    start = F.struct(F.lit("").alias("out"), F.lit("").alias("prev"))
+
+    def step(acc, x):
+        code = x.rlike(f"(?s)^{VERBATIM}$")
+        tag = x.rlike(r"(?s)^<[^>]+>$")
+        turned = F.substring(smart_quotes(F.concat(acc["prev"], x)), F.length(acc["prev"]) + 1, F.length(x))
+        prev = F.when(code, "x").when(tag & x.rlike(BLOCK_TAG), "").when(tag, acc["prev"]).otherwise(F.right(x, F.lit(1)))
+        return F.struct(F.concat(acc["out"], F.when(code | tag, x).otherwise(turned)).alias("out"), prev.alias("prev"))
+
+    return F.aggregate(pieces, start, step, lambda a: a["out"])

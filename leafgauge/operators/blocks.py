@@ -221,3 +221,18 @@ def composites(spans: DataFrame, by: list[str], order: str, key: str, most: int
     rows = spans.withColumn("_keys", F.collect_list(key).over(w.rowsBetween(0, most - 1)))
     rows = rows.select(*by, F.col(order).alias("first"), "_keys", F.explode(F.expr("sequence(1, size(_keys))")).alias("n"))
     return rows.select(*by, F.array_join(F.slice("_keys", F.lit(1), F.col("n")), "").alias(key), "first", "n")
+
+
+def stacked_marks(marks: Column, text: Column) -> Column:
+    """Marks (a, b, x0, y0, x1, y1), sorted, in which one that goes on below, with blanks only between, is part of the one above."""
+    kind = "array<struct<a:int,b:int,x0:double,y0:double,x1:double,y1:double>>"
+
+    def step(acc, m):
+        p = F.element_at(acc, -1)
+        bare = F.trim(F.substring(text, p["b"] + 1, m["a"] - p["b"])) == ""
+        below = (m["y0"] >= p["y1"] - 3) & (F.least(p["x1"], m["x1"]) > F.greatest(p["x0"], m["x0"]))
+        grown = F.struct(p["a"].alias("a"), m["b"].alias("b"), p["x0"].alias("x0"), p["y0"].alias("y0"), p["x1"].alias("x1"), p["y1"].alias("y1"))
+        joins = (F.size(acc) > 0) & F.coalesce(bare & below, F.lit(False))
+        return F.when(joins, F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(grown))).otherwise(F.concat(acc, F.array(m))).cast(kind)
+
+    return F.aggregate(marks.cast(kind), F.array().cast(kind), step)

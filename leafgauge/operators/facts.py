@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MARKER = r"<!-- p\.(\d+) -->"
+#: Up to eight characters at a line's start, not all blank, and the marker after them.
+SNAP = r"(?m)^(?=[ \t]*[^\s<])([^\n<]{1,8})(<!-- p\.\d+ -->)"
 #: What a piece of each kind looks like in one line; the first group is its text.
 KINDS = {
     "image": r"!\[[^\]]*\]\(([^)\s]+)\)",
@@ -23,6 +25,8 @@ def page_slices(df: DataFrame, text: str, first: Column | None = None) -> DataFr
 
     Empty stretches give no row; a null text gives none.
     """
+    # A marker right after a line's beginning, such as a list mark, belongs before it.
+    df = df.withColumn(text, F.regexp_replace(text, SNAP, "$2$1"))
     pages = F.transform(F.regexp_extract_all(text, F.lit(MARKER), 1), lambda x: x.cast("int"))
     pages = F.concat(F.array((first if first is not None else F.lit(None)).cast("int")), pages)
     out = df.select(*(c for c in df.columns if c != text), F.posexplode(F.arrays_zip(pages.alias("page"), F.split(text, MARKER).alias("slice"))).alias("ord", "s"))

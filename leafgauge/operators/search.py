@@ -45,6 +45,22 @@ def ranked(docs: DataFrame, id_col: str, queries: DataFrame, query_col: str, k:
     return hit.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
+#: Characters of passages that go to every task at once; more go in several blocks.
+BLOCK = 1 << 20
+
+
+def containing(docs: DataFrame, doc_col: str, passages: DataFrame, item_col: str) -> DataFrame:
+    """Rows (item_col, doc_col): which passages (item_col, key) stand in which documents (doc_col, key), keys being texts
+    without blanks. Passages are broadcast in blocks of bounded size; no document leaves its place, however short a passage.
+    """
+    size = passages.agg(F.coalesce(F.sum(F.length("key") + 16), F.lit(0))).first()[0]
+    blocks = max(1, -(-int(size) // BLOCK))
+    per = passages.groupBy(F.pmod(F.xxhash64(item_col), F.lit(blocks)).cast("int").alias("_block")).agg(F.collect_list(F.struct(item_col, F.col("key").alias("_key"))).alias("_all"))
+    rows = docs.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).join(F.broadcast(per), "_block")  # rows of BLOCK characters or so
+    hit = F.filter("_all", lambda p: F.col("key").contains(p["_key"]))
+    return rows.select(doc_col, F.explode(hit).alias("p")).select(f"p.{item_col}", doc_col)
+
+
 def index_line(title: Column, link: Column, vendor: Column, date: Column, description: Column) -> Column:
     words = F.trim(F.regexp_replace(description, r"\s+", " "))
     return F.concat(F.lit("- ["), title, F.lit("]("), link, F.lit("): "), vendor, F.lit(", "), date, F.lit(". "), words)

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import bags, facts, geometry, islands, tables
+from ..operators import bags, facts, gates, geometry, islands, search, tables
 from .registry import QUERIES, SQL, query, table  # noqa: F401
 
 LINK = r'<a href="([^"]+)"'
@@ -169,6 +169,55 @@ def list_levels(spark, sf_dir):
     return v.select("p_brand", F.size(islands.tiers(F.col("a"))).cast("bigint").alias("n_tiers"))
 
 
+@query("""with e as (select event_type, user_id, row_number() over (partition by event_type order by user_id) as k from (select distinct event_type, user_id from events)), s as (select event_type, list(user_id order by user_id) as samples from e where k <= 3 group by 1)
+select event_type, n, users, samples, mean, kinds from (select event_type, count(*)::bigint as n, count(distinct user_id)::bigint as users, round(avg(value), 4) as mean, count(distinct date_trunc('day', ts))::bigint as kinds from events group by 1) join s using (event_type)""")
+def census(spark, sf_dir):
+    """Kinds of events by how often, by how many users and days, with three users of each."""
+    e = table(spark, sf_dir, "events")
+    first = bags.first_of_each(e.select("event_type", "user_id").distinct(), ["event_type"], ["user_id"], 3)
+    samples = first.groupBy("event_type").agg(F.sort_array(F.collect_list("user_id")).alias("samples"))
+    n = e.groupBy("event_type").agg(F.count("*").alias("n"), F.countDistinct("user_id").alias("users"), F.round(F.avg("value"), 4).alias("mean"), F.countDistinct(F.date_trunc("day", "ts")).alias("kinds"))
+    return n.join(samples, "event_type")
+
+
+@query("""with p as (select item_id, text from benchmark union all select 1000 + item_id, array_to_string(string_split(text, ' ')[2:4], ' ') from benchmark union all select 2000 + item_id, string_split(text, ' ')[3] from benchmark)
+select item_id, doc_id from p join documents d on contains(regexp_replace(d.text, '\\s+', '', 'g'), regexp_replace(p.text, '\\s+', '', 'g'))""")
+def passage_containment(spark, sf_dir):
+    """Passages, and pieces of three words and of one word of them, in the documents that hold them, blanks aside."""
+    b = table(spark, sf_dir, "benchmark").withColumn("w", F.split("text", " "))
+    forms = F.array(*(F.struct((F.col("item_id") + k).alias("item_id"), t.alias("text")) for k, t in ((0, F.col("text")), (1000, F.array_join(F.slice("w", 2, 3), " ")), (2000, F.get("w", F.lit(2))))))
+    key = lambda c: F.regexp_replace(c, r"\s+", "")
+    p = b.select(F.explode(forms).alias("p")).select("p.item_id", key(F.col("p.text")).alias("key"))
+    return search.containing(table(spark, sf_dir, "documents").select("doc_id", key(F.col("text")).alias("key")), "doc_id", p.where("key is not null"), "item_id")
+
+
+@query("""with f as (select l_suppkey as doc, l_orderkey // 50 as page, l_partkey % 20 as w, l_linenumber % 3 as kind, row_number() over (order by l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate) as pos from lineitem),
+n as (select *, row_number() over (partition by doc, w, kind order by page, pos) as nth from f), i as (select * from n where kind = 0), d as (select * from n where kind = 1), p as (select i.doc, i.page, i.w, i.nth, d.page as away from i join d using (doc, w, nth) where abs(i.page - d.page) <= 2)
+select doc, page, 'displaced' as op, 'minor' as severity, away::varchar as away from p union all select i.doc, i.page, 'insert', 'major', null from i anti join p using (doc, w, nth) union all select d.doc, d.page, 'delete', 'major', null from d anti join p using (doc, w, nth) union all select doc, page, 'replace', 'major', null from f where kind = 2""")
+def gate_t2(spark, sf_dir):
+    """Words put in at one place and left out at another, at most two pages apart, are moved, not lost."""
+    from pyspark.sql import Window
+
+    l = table(spark, sf_dir, "lineitem")
+    at = F.row_number().over(Window.partitionBy("l_suppkey").orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"))
+    word = (F.col("l_partkey") % 20).cast("string")
+    k = F.col("l_linenumber") % 3
+    detail = F.create_map(F.lit("op"), F.when(k == 0, "insert").when(k == 1, "delete").otherwise("replace"), F.lit("extra"), F.when(k == 0, word).otherwise(""), F.lit("missing"), F.when(k == 1, word).otherwise(""), F.lit("at"), at.cast("string"))
+    flags = l.select(F.col("l_suppkey").alias("doc"), F.lit("T1").alias("invariant"), F.expr("l_orderkey div 50").alias("page"), F.lit("major").alias("severity"), detail.alias("detail"))
+    return gates.displaced(flags).select("doc", "page", F.col("detail")["op"].alias("op"), "severity", F.col("detail")["from_page"].alias("away"))
+
+
+@query("""select doc_id, '<p>“Say” <b>“' || doc_id || '”</b> it’s</p><pre>"as" it''s</pre><li>“x” <code>"y"</code>’s</li>' as html, '<div class="table-wrap"><table><tr></tr></table></div><p class="tablecap"><em>[Table 1] x</em></p><img loading="lazy" decoding="async" src="a.png">' as page from documents""")
+def page_typography(spark, sf_dir):
+    """Quotes turned in a page's text but not in code, and images, tables and captions dressed."""
+    from ..functions import markdown as M
+
+    i = F.col("doc_id").cast("string")
+    html = F.concat(F.lit('<p>"Say" <b>"'), i, F.lit("\"</b> it's</p><pre>\"as\" it's</pre><li>\"x\" <code>\"y\"</code>'s</li>"))
+    raw = F.lit('<table><tr></tr></table><p><em>[Table 1] x</em></p><img src="a.png">')
+    return table(spark, sf_dir, "documents").select("doc_id", T.smart_quotes_html(html).alias("html"), M.article_html(raw).alias("page"))
+
+
 @query("""with s as (select l.doc_id, quality, toxic, length(text) > 1000 as long from labels l join documents d using (doc_id)) select quality, toxic, count(*)::bigint as tried, sum(long::int)::bigint as caught, round(avg(long::int), 6) as recall from s group by 1, 2""")
 def recall_by_class(spark, sf_dir):
     s = table(spark, sf_dir, "labels").join(table(spark, sf_dir, "documents"), "doc_id").withColumn("c", (F.length("text") > 1000).cast("int"))

@@ -219,6 +219,23 @@ def outermost_marks(spark, sf_dir):
     return kept.select("doc", F.explode("k").alias("m")).select("doc", "m.start", "m.end")
 
 
+@query("""with recursive l as (select l_orderkey as doc, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate) as k, l_partkey % 3 = 0 as below, l_suppkey % 2 = 0 as bare from lineitem),
+y as materialized (select *, sum(below::int) over (partition by doc order by k) as y from l), f as (select doc, k, k as first, y as top from y where k = 1 union all select y.doc, y.k, case when bare and y.y > f.top then f.first else y.k end, case when bare and y.y > f.top then f.top else y.y end from f join y on y.doc = f.doc and y.k = f.k + 1)
+select doc, (first * 10)::int as a, (max(k) * 10 + 5)::int as b from f group by doc, first""")
+def stacked_marks(spark, sf_dir):
+    """Pills that go on on the next line are one mark; those beside each other, or with words between, stay apart."""
+    l = table(spark, sf_dir, "lineitem")
+    k = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"))
+    m = l.select(F.col("l_orderkey").alias("doc"), k.alias("k"), (F.col("l_partkey") % 3 == 0).alias("below"), (F.col("l_suppkey") % 2 == 0).alias("bare"))
+    up = F.sum(F.when(F.col("below"), 20).otherwise(0)).over(Window.partitionBy("doc").orderBy("k"))
+    m = m.withColumn("y", up.cast("double")).withColumn("piece", F.concat(F.when(F.col("bare"), "     ").otherwise(" and "), F.lit("pills")))
+    mark = F.struct((F.col("k") * 10).alias("a"), (F.col("k") * 10 + 5).alias("b"), F.lit(0.0).alias("x0"), F.col("y").alias("y0"), F.lit(9.0).alias("x1"), (F.col("y") + 12).alias("y1"))
+    per = m.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("k", mark.alias("m"), "piece"))).alias("x"))
+    text = F.concat(F.lit("lead "), F.array_join(F.transform("x", lambda x: x["piece"]), ""))
+    marks = blocks.stacked_marks(F.transform("x", lambda x: x["m"]), text)
+    return per.select("doc", F.explode(marks).alias("m")).select("doc", "m.a", "m.b")
+
+
 @query("""with t as (select l_orderkey as doc, list_sort(list((l_partkey * 3 % 400)::double)) as t from lineitem group by 1), s as (select doc, list_reduce([[x] for x in t], lambda a, x: a || [greatest(x[1], a[len(a)] + 34)]) as s from t) select doc, generate_subscripts(s, 1)::int - 1 as k, unnest(s) as top from s""")
 def note_tops(spark, sf_dir):
     """Notes beside a text pushed down so that none covers the one above."""

@@ -50,3 +50,20 @@ def test_near_sum_goes_by_page_number(spark):
 
 def test_smart_quotes(spark):
     assert one(spark, T.smart_quotes(F.lit("\"a\" ('b') '90s it's"))) == "“a” (‘b’) ’90s it’s"
+
+
+def test_slices_snap_to_the_line(spark):
+    from leafgauge.operators import facts
+
+    md = "a<!-- p.1 -->b\n- <!-- p.2 -->item\nlong line before<!-- p.3 -->c\n   <!-- p.4 -->d"
+    got = facts.page_slices(spark.createDataFrame([(md,)], "md string"), "md").orderBy("ord").collect()
+    assert [(r["page"], r["slice"]) for r in got] == [(1, "ab\n"), (2, "- item\nlong line before"), (3, "c\n   "), (4, "d")]
+
+
+def test_quotes_in_pages(spark):
+    html = '<p>"a" <b>it</b>\'s "<i>b</i>"</p>"c" <pre>"d"</pre>"'
+    assert one(spark, T.smart_quotes_html(F.lit(html))) == "<p>“a” <b>it</b>’s “<i>b</i>”</p>“c” <pre>\"d\"</pre>”"
+
+
+def test_every_entity(spark):
+    assert one(spark, T.decoded(F.lit("&amp;&eacute;&#65;&nbsp;&zwj;x"))) == "&éA\xa0‍x" and one(spark, T.decoded(F.lit("plain"))) == "plain"

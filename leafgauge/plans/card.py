@@ -221,8 +221,7 @@ def gate_fn1(spark, sf_dir):
     return gates.fn1(md, facts["spans"], facts["notes"]).select("doc", "page", F.col("detail")["kind"].alias("kind"), F.col("detail")["n"].alias("n"))
 
 
-@query(f"""with {_page}, s as (select * from f where kind = 9) select doc, page::bigint as page, 'minor' as severity, page::varchar as n, c[4] || ' ' || c[8] || ' note' || case when page % 5 = 0 then ' more' else '' end || case when page % 4 = 3 then ' tail' || page + 1 else '' end as source from s where page % 5 = 0 or page % 4 = 3
-  and exists (select 1 from p q where q.doc = s.doc and q.page = s.page + 1 and len(q.c) = 24)""")
+@query(f"""with {_page}, s as (select *, page % 4 = 3 and exists (select 1 from f n where n.doc = f.doc and n.page = f.page + 1) as tailed from f where kind = 9) select doc, page::bigint as page, 'minor' as severity, page::varchar as n, left(c[4] || ' ' || c[8] || ' note' || case when page % 5 = 0 then ' more' else '' end || case when tailed then ' tail' || page + 1 else '' end, 80) as source from s where page % 5 = 0 or tailed""")
 def gate_fn1_bodies(spark, sf_dir):
     """Notes that say more than the Markdown's: of their own page, or by a tail on the next."""
     facts = page_facts(spark, sf_dir)

@@ -38,13 +38,14 @@ def _run(a, b):
     return F.array_join(F.slice("c", a, b - a + 1), " ")
 
 
-_number = F.expr("concat(doc % 9 + 1, '.', page, ' ')")
+def _number():
+    return F.expr("concat(doc % 9 + 1, '.', page, ' ')")
 
 
 def sections(spark, sf_dir):
     """Rows (doc, text): every document's Markdown."""
     page = F.col("page").cast("string")
-    head = F.when(F.col("page") % 3 == 1, F.concat(F.lit("## "), _number, _run(1, 3))).otherwise(_run(1, 3))
+    head = F.when(F.col("page") % 3 == 1, F.concat(F.lit("## "), _number(), _run(1, 3))).otherwise(_run(1, 3))
     first = _text(4, " ", 5, " **", 6, " ", 7, "** ", 8, " [", 9, "](", F.col("uri"), ") ", 10, " :chip[", F.col("label"), "] ", 12, "[^", page, "]")
     second = F.when(F.col("page") % 2 == 0, F.concat(F.lit("- "), _run(13, 20))).otherwise(_text(13, " ", 14, ". Then ", _run(15, 18), ". ", 19, " ", 20))
     figure = F.when(F.col("page") % 4 == 2, _text("![", 21, "](figures/p", page, ".png)"))
@@ -69,7 +70,7 @@ def page_facts(spark, sf_dir):
     spans = [
         _span(1, 0, F.array_join("c", " "), 20, ~full),
         _span(1, 0, _run(1, 3), 20, full & ~head),
-        _span(1, 0, F.concat(_number, _run(1, 2)), 20, full & head, True, 13.0),
+        _span(1, 0, F.concat(_number(), _run(1, 2)), 20, full & head, True, 13.0),
         _span(2, 0, _text(3), 36, full & head, True, 13.0),
         _span(3, 0, _text(4, " ", 5, " "), 60, full),
         _span(3, 1, _text(6, " "), 60, full, True),

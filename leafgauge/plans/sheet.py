@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import geometry, layout
@@ -175,9 +174,6 @@ def key_occurrences(spark, sf_dir):
     return a.join(layout.nth_of_key(cells, ["page", "key"], ["cell"]), ["page", "key", "nth"])
 
 
-_PEAK = Window.partitionBy("page")
-
-
 @query(f"""with {_fix}, w as (select page, avg(bold::int) as share from s where color <> 16777215 group by 1) select page, round(share, 6) as share, share < 0.9 as signifies from w""")
 def bold_shares(spark, sf_dir):
     """How much of a page is bold, white text aside: bold says something where not nearly all is."""

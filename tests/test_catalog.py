@@ -36,3 +36,10 @@ def test_visual_rows_of_every_page(spark):
         want += [(page, i, *r) for i, r in enumerate(rows)]
     got = catalog.visual_rows(spark, place).select("page", "row", "x0", "y0", "x1", "y1", "n").collect()
     assert len(pages) > 50 and sorted(map(tuple, got)) == sorted(want)
+
+
+def test_entry_needs_no_session():
+    import subprocess
+
+    said = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; assert set(e.oracle_sql()) <= set(e.queries())"], cwd=Path(__file__).parents[1], capture_output=True, text=True)
+    assert said.returncode == 0, said.stderr

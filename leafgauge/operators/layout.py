@@ -210,3 +210,46 @@ def image_files(images: DataFrame) -> DataFrame:
 def nth_of_key(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """rows with nth: which occurrence of its key each is, so that equal keys on two sides pair up in order."""
     return rows.withColumn("nth", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+
+
+def assembled(rows: DataFrame) -> DataFrame:
+    """Rows (page, block, first, last, type, role, quote, text): a page's classed lines in reading order as blocks.
+
+    rows: lines with class, role and quote. Headings go on while they are close and of one size, captions while the lines are
+    close and small or of their size, turns and boxes while the role stays and no label in bold begins another; an item
+    goes on with lines that hang under it, or that begin at its mark while its sentence is open; the rest are paragraphs (see
+    paragraphs). What a line joins hangs on the block so far: a fold over the page.
+    """
+    line = F.struct("place", "text", "x0", "y0", "x1", "y1", "size", "bold", "lead_bold", "class", "role", "quote")
+    cur = "struct<first:int,last:int,type:string,role:string,quote:boolean,right:double,text:string,x0:double,y0:double,y1:double,x1:double,size:double,bold:boolean,tail:string>"
+
+    def step(acc, l):
+        c = F.element_at(acc, -1)
+        gap, near = l["y0"] - c["y1"], F.abs(l["size"] - c["size"]) < 0.6
+        right = F.greatest(c["right"], l["x1"])
+        short = c["x1"] < right - 40
+        lead = l["lead_bold"] & c["tail"].rlike(r'[.!?:”"]\s*$') & short
+        label = c["bold"] & short & ~l["lead_bold"]
+        prose = l["class"] == "prose"
+        open_ = ~c["tail"].rlike(r"[.!?;:”\"’]\s*$") | l["text"].rlike(r"(?U)^\s*\p{Lower}")
+        boxed = l["class"].isin("turn", "commentary", "code")
+        same = (
+            ((l["class"] == "heading") & (c["type"] == "heading") & (gap < 10) & near)
+            | (boxed & (l["class"] == c["type"]) & ~((l["class"] == "turn") & (~l["role"].eqNullSafe(c["role"]) | l["lead_bold"])))
+            | (prose & (c["type"] == "caption") & ((l["size"] <= 9.5) | near) & (gap < 8))
+            | (prose & (c["type"] == "item") & (gap < 8) & ((l["x0"] > c["x0"] + 6) | ((F.abs(l["x0"] - c["x0"]) <= 2) & open_)))
+            | (prose & (c["type"] == "paragraph") & (gap < F.greatest(F.lit(4.0), 0.55 * (c["y1"] - c["y0"]))) & ~lead & ~label & (c["quote"] == l["quote"]))
+        )
+        kind = F.when(prose, "paragraph").otherwise(l["class"])
+        joins = (F.size(acc) > 0) & F.coalesce(same, F.lit(False))
+        own = lambda mine, theirs: F.when(joins, mine).otherwise(theirs)
+        # A block's size and left edge are those of its first line; heights and ends those of its last.
+        new = F.struct(
+            own(c["first"], l["place"]).alias("first"), l["place"].alias("last"), own(c["type"], kind).alias("type"), own(c["role"], l["role"]).alias("role"), own(c["quote"], l["quote"]).alias("quote"), own(right, l["x1"]).alias("right"),
+            own(F.concat_ws(" ", c["text"], l["text"]), l["text"]).alias("text"), own(c["x0"], l["x0"]).alias("x0"), l["y0"].alias("y0"), l["y1"].alias("y1"), l["x1"].alias("x1"), own(c["size"], l["size"]).alias("size"), l["bold"].alias("bold"), l["text"].alias("tail"),
+        ).cast(cur)
+        return F.concat(F.slice(acc, 1, F.size(acc) - F.when(joins, 1).otherwise(0)), F.array(new))
+
+    per = rows.groupBy("page").agg(F.array_sort(F.collect_list(line)).alias("l"))
+    out = per.select("page", F.posexplode(F.aggregate("l", F.array().cast(f"array<{cur}>"), step)).alias("block", "b"))
+    return out.select("page", "block", "b.first", "b.last", "b.type", "b.role", "b.quote", "b.text")

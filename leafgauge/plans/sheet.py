@@ -193,3 +193,23 @@ def row_bands(spark, sf_dir):
     """The upper median of a row's middles, unless they spread by more than 7."""
     v = F.sort_array(F.collect_list((F.col("y0") + F.col("y1")) / 2))
     return spans(spark, sf_dir).groupBy("page", "line").agg(v.alias("v")).select("page", "line", F.when(F.element_at("v", -1) - F.element_at("v", 1) <= 7, F.element_at("v", F.expr("cast(size(v) div 2 + 1 as int)"))).alias("band"))
+
+
+_class = f"""x as (select ln.*, role, regexp_extract(text, '^(\\d+(?:\\.\\d+)*)\\s+\\S', 1) as num, exists (select 1 from r where r.page = ln.page and r.c % 6 = 5 and ln.x0 < r.x1 and r.x0 < ln.x1 and ln.y0 < r.y1 and r.y0 < ln.y1) as fig from ln left join role using (page, line)),
+t as materialized (select * replace (y0 + (place % 3) * 6 as y0, y0 + 36 + (place % 3) * 6 as y1), x0 >= 112 and role is null as quote, case when size >= 12.6 or (colors = [6710886] and num <> '') or (len(num) - len(replace(num, '.', '')) >= 2 and bold) then 'heading' when role in ('turn', 'code') then role when role = 'transcript' then case when list_contains(colors, 6710886) then 'commentary' else 'turn' end
+when regexp_matches(ltrim(text), '^\\[(Figure|Table|Transcript)\\b') or (size <= 9.5 and fig) then 'caption' when regexp_matches(ltrim(text), '^([●•◦▪‣○]|(\\d{{1,2}}|[a-z])[.)]​)') then 'item' else 'prose' end as class from x)"""
+
+
+@query(f"""with recursive {_fix}, {_line}, {_role}, {_class}, f as (select page, place, 0 as block, case when class = 'prose' then 'paragraph' else class end as type, role, quote, x1 as "right", text as tail, x0, y0, y1, x1, size, bold from t where place = 1 union all
+select t.page, t.place, case when ok then f.block else f.block + 1 end, case when ok then f.type when t.class = 'prose' then 'paragraph' else t.class end, case when ok then f.role else t.role end, case when ok then f.quote else t.quote end, case when ok then greatest(f."right", t.x1) else t.x1 end, t.text, case when ok then f.x0 else t.x0 end, t.y0, t.y1, t.x1, case when ok then f.size else t.size end, t.bold
+from f join t on t.page = f.page and t.place = f.place + 1, lateral (select f.x1 < greatest(f."right", t.x1) - 40 as short, t.y0 - f.y1 as gap, abs(t.size - f.size) < 0.6 as near) sh, lateral (select coalesce(case when t.class = 'heading' then f.type = 'heading' and gap < 10 and near when t.class in ('turn', 'commentary', 'code') then f.type = t.class and not (t.class = 'turn' and (t.role is distinct from f.role or t.lead_bold))
+when t.class <> 'prose' then false when f.type = 'caption' then (t.size <= 9.5 or near) and gap < 8 when f.type = 'item' then gap < 8 and (t.x0 > f.x0 + 6 or (abs(t.x0 - f.x0) <= 2 and (not regexp_matches(f.tail, '[.!?;:”"’]\\s*$') or regexp_matches(t.text, '^\\s*\\p{{Ll}}'))))
+when f.type = 'paragraph' then gap < greatest(4.0, 0.55 * (f.y1 - f.y0)) and not (t.lead_bold and regexp_matches(f.tail, '[.!?:”"]\\s*$') and sh.short) and not (f.bold and sh.short and not t.lead_bold) and f.quote = t.quote else false end, false) as ok) o)
+select f.page, f.block, min(f.place) as first, max(f.place) as last, any_value(f.type) as type, any_value(f.role) as role, any_value(f.quote) as quote, string_agg(t.text, ' ' order by t.place) as text from f join t using (page, place) group by 1, 2""")
+def page_blocks(spark, sf_dir):
+    """A page's lines as headings, paragraphs, items, captions, turns and boxes."""
+    l = _roles(spark, sf_dir)
+    fig = layout.meeting(l.select("page", "line", "x0", "y0", "x1", "y1"), rects(spark, sf_dir, 5)).select("page", "line", F.lit(True).alias("fig"))
+    l = l.join(fig, ["page", "line"], "left").withColumn("class", layout.line_class("#666666", F.coalesce("fig", F.lit(False)))).withColumn("quote", (F.col("x0") >= 112) & F.col("role").isNull())
+    k = (F.col("place") % 3) * 6
+    return layout.assembled(l.withColumn("y1", F.col("y0") + 36 + k).withColumn("y0", F.col("y0") + k))

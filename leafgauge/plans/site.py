@@ -204,3 +204,18 @@ def item_lines(spark, sf_dir):
     body = F.when(kind == 0, F.concat(F.lit("12)​ num "), n)).when(kind == 1, F.concat(F.lit("● bullet "), n)).when(kind == 2, F.concat(F.lit("b.letter "), n)).otherwise(F.concat(F.lit("**○ bold"), n, F.lit("**")))
     raw = F.when(kind == 2, F.concat(F.lit("b.​letter "), n)).otherwise(body)
     return l.select("l_orderkey", "l_linenumber", "l_partkey", M.list_item(body, F.col("l_suppkey") % 3, F.col("l_suppkey") % 2 == 0, raw).alias("line"))
+
+
+_pagemark = f"""'<a class="pagemark" id="p-' || page || '" href="{BASE}/source.pdf#page=' || page || '" title="Page ' || page || ' of the source PDF" aria-label="Page ' || page || ' of the source PDF" data-page="p.' || page || '" target="_blank" rel="noopener"></a>'"""
+
+
+@query(f"""with {card._page}, h as (select f.doc, f.page, case when page % 3 = 1 then '<h2 id="' || lower(regexp_replace(head, '[^a-z0-9 ]', '', 'g')).replace(' ', '-') || '">' || {_pagemark} || head || '</h2>' else '<p>' || {_pagemark} || '</p>' || chr(10) || '<p>' || array_to_string(c[1:3], ' ') || '</p>' end || chr(10) ||
+'<p>' || c[4] || ' ' || c[5] || ' <strong>' || c[6] || ' ' || c[7] || '</strong> ' || c[8] || ' <a href="' || uri || '">' || c[9] || '</a> ' || c[10] || ' <span class="chip chip-' || case label when 'high' then 'red' else 'gray' end || '">' || label || '</span> ' || c[12] || '<sup><a href="#fn-' || page || '" id="fnref-' || page || '">' || page || '</a></sup></p>' || chr(10) ||
+case when page % 2 = 0 then '<ul><li>' || item || '</li></ul>' else '<p>' || c[13] || ' ' || c[14] || '. Then ' || array_to_string(c[15:18], ' ') || '. ' || c[19] || ' ' || c[20] || '</p>' end || chr(10) || case when page % 4 = 2 then '<figure><div class="figure-card"><a href="figures/p' || page || '.png" class="figure-zoom"><img src="figures/p' || page || '.png" alt="' || c[21] || '" loading="lazy" decoding="async"></a></div></figure>' || chr(10) else '' end ||
+'<p>' || c[21] || ' <a href="#s' || page || '">' || c[22] || ' ' || c[23] || '</a> ' || c[24] || '</p>' || chr(10) || '<aside class="note" id="fn-' || page || '">' || c[4] || ' ' || c[8] || ' note</aside>' as html from f
+union all select doc, page, '<p>' || {_pagemark} || '</p>' || chr(10) || '<p>' || array_to_string(c, ' ') || '</p>' from p where len(c) < 24) select doc, md5(string_agg(html, chr(10) order by page)) as h from h group by 1""")
+def rendered_sections(spark, sf_dir):
+    """Whole sections as pages, by digest."""
+    from ..functions import html
+
+    return card.sections(spark, sf_dir).select("doc", F.md5(html.render(F.col("text"), BASE, {"high": "red"})).alias("h"))

@@ -70,7 +70,7 @@ def _markers(text: str) -> Iterator[Edit]:
 
 #: Places of each class's defect.
 SITES = {
-    "split-item": _split(r"^- (.{30,300})$", 1, 10, 40),
+    "split-item": _split(r"^- (.{30,300})$", 1, 10, 30),
     "item-to-paragraph": _edit(r"^- (.{30,})$", lambda m: m[1]),
     "split-heading": _split(r"^#{2,5} (.{12,90})$", 1, 6, 45),
     "drop-link": _edit(r"\[([^\]^][^\]]*)\]\((https?://[^)]+)\)", lambda m: m[1]),

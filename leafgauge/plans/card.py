@@ -195,10 +195,10 @@ def gate_st1(spark, sf_dir):
 
 
 _at = lambda s, low, high: f"{low + 1} + len({s}[{low + 1}:{high}]) - strpos(reverse({s}[{low + 1}:{high}]), ' ')"
-_torn = f"""r as (select *, trim(item[{_at("item", 10, 40)} + 1:]) as rest from x), k as (select *, left(replace(rest, ' ', ''), 24) as key from r),
+_torn = f"""r as (select *, trim(item[{_at("item", 10, 30)} + 1:]) as rest from x), k as (select *, left(replace(rest, ' ', ''), 24) as key from r),
   torn as (select k.* from k where len(key) >= 14 and not exists (select 1 from (select unnest([case when page % 3 = 1 then replace(left(head, len(head) - len(c[3]) - 1), ' ', '') else array_to_string(c[1:3], '') end, case when page % 3 = 1 then c[3] else '' end, array_to_string(c[4:8], ''),
   c[9] || c[10] || label || c[12], array_to_string(c[13:17], ''), array_to_string(c[18:20], ''), array_to_string(c[21:24], '')]) as line) where line <> '' and (starts_with(line, key) or (len(line) >= 6 and starts_with(key, line)))))"""
-_item_sites = "page % 2 = 0 and len(item) between 30 and 300 and strpos(item[11:40], ' ') > 0"
+_item_sites = "page % 2 = 0 and len(item) between 30 and 300 and strpos(item[11:30], ' ') > 0"
 
 
 @query(f"""with {_gate("split-item", _item_sites)}, {_torn} select doc, page::bigint as page, left(rest, 60) as text from torn""")

@@ -58,10 +58,10 @@ def slugify(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", T.slugify(F.col("p_name")).alias("slug"))
 
 
-_heads = """select row_number() over (order by k) as ord, head from (
-select r_regionkey * 10000 as k, (r_regionkey + 1) || ' ' || r_name as head from region union all
-select n_regionkey * 10000 + (n_nationkey + 1) * 100, (n_regionkey + 1) || '.' || (n_nationkey + 1) || ' ' || n_name from nation union all
-select n_regionkey * 10000 + (n_nationkey + 1) * 100 + 1, (n_regionkey + 1) || '.' || (n_nationkey + 1) || '.1 Customers of ' || n_name from nation)"""
+_heads = """select doc, row_number() over (partition by doc order by k) as ord, head from (
+select r_regionkey as doc, 0 as k, (r_regionkey + 1) || ' ' || r_name as head from region union all
+select n_regionkey, (n_nationkey + 1) * 100, (n_regionkey + 1) || '.' || (n_nationkey + 1) || ' ' || n_name from nation union all
+select n_regionkey, (n_nationkey + 1) * 100 + 1, (n_regionkey + 1) || '.' || (n_nationkey + 1) || '.1 Customers of ' || n_name from nation)"""
 
 
 def headings(spark, sf_dir):
@@ -70,13 +70,14 @@ def headings(spark, sf_dir):
     return spark.sql(_heads.replace("from region", "from _region").replace("from nation", "from _nation"))
 
 
-@query(f"""with h as ({_heads}), t as (select ord, regexp_extract(head, '^(\\d+(?:\\.\\d+)*)\\s+', 1) as number, regexp_replace(head, '^(\\d+(?:\\.\\d+)*)\\s+', '') as title from h),
+@query(f"""with h as ({_heads}), t as (select doc, ord, regexp_extract(head, '^(\\d+(?:\\.\\d+)*)\\s+', 1) as number, regexp_replace(head, '^(\\d+(?:\\.\\d+)*)\\s+', '') as title from h),
 l as (select *, least(6, len(number) - len(replace(number, '.', '')) + 2)::int as level from t)
-select ord, number, title, level, last_value(case when level = 2 then number end ignore nulls) over (order by ord rows unbounded preceding) as parent from l""")
+select doc, ord, number, title, level, last_value(case when level = 3 then number end ignore nulls) over (partition by doc order by ord rows unbounded preceding) as parent from l where level <= 4""")
 def toc(spark, sf_dir):
-    h = headings(spark, sf_dir).select(F.col("ord").cast("bigint"), "head")
-    out = h.select("ord", T.heading_number(F.col("head")).alias("number"), F.regexp_replace("head", r"^(\d+(?:\.\d+)*)\s+", "").alias("title"), T.heading_level(F.col("head")).cast("int").alias("level"))
-    return out.withColumn("parent", islands.last_known(F.when(F.col("level") == 2, F.col("number")), [], ["ord"]))
+    """Headings down to the third kind, each under the last one of the second kind in its document."""
+    h = headings(spark, sf_dir).select("doc", F.col("ord").cast("bigint"), "head")
+    out = h.select("doc", "ord", T.heading_number(F.col("head")).alias("number"), F.regexp_replace("head", r"^(\d+(?:\.\d+)*)\s+", "").alias("title"), T.heading_level(F.col("head")).cast("int").alias("level")).where("level <= 4")
+    return out.withColumn("parent", islands.last_known(F.when(F.col("level") == 3, F.col("number")), ["doc"], ["ord"]))
 
 
 @query("""with e as (select *, case when event_type is not distinct from lag(event_type) over w and row_number() over w > 1 then 0 else 1 end as c from events window w as (partition by user_id order by ts, event_id)),

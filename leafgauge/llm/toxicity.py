@@ -1,7 +1,8 @@
 """Toxicity severity by cumulative-link ordinal regression on sparse text features (operator 3).
 
 Grades: 0 for documents labelled clean; labelled toxic ones are graded 1, 2 and 3 by terciles of how dense
-their evidence is, that is words and word beginnings far commoner in toxic than in clean training texts.
+their evidence is, that is words and word beginnings far commoner in toxic than in clean training texts. The training
+texts are two halves, and each is graded by what is commoner in the other, so that no text is evidence for its own grade.
 One weight vector is shared by all thresholds: P(grade >= k) = sigmoid(w.x - b_k), b_1 <= b_2 <= b_3.
 Features are such words and beginnings, counted by log(1 + n) over the whole text.
 """
@@ -57,12 +58,18 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
     if not n1 or not n0:
         return {"weights": {}, "cuts": [1.0] * (GRADES - 1)}
-    per = seen.select("toxic", F.explode(F.split("words", " ")).alias("f")).where("f <> ''").groupBy("f").agg(F.sum("toxic").alias("a"), F.count("*").alias("n"))
+    half = F.pmod(F.xxhash64("id", F.lit("half")), F.lit(2))
+    in_half = {(r["half"], r["toxic"]): r["n"] for r in seen.groupBy(half.alias("half"), "toxic").agg(F.count("*").alias("n")).collect()}
+    per = seen.select("toxic", half.alias("half"), F.explode(F.split("words", " ")).alias("f")).where("f <> ''").groupBy("f").agg(F.sum("toxic").alias("a"), F.count("*").alias("n"), F.sum(F.expr("half * toxic")).alias("a1"), F.sum("half").alias("n1"))
     per = per.withColumn("b", F.col("n") - F.col("a")).where(f"a >= {max(3, n1 // 1000)}")
     per = per.withColumn("lift", F.log((F.col("a") + 0.5) / (n1 + 1)) - F.log((F.col("b") + 0.5) / (n0 + 1))).where("lift > 2.0")
     chosen = per.orderBy(F.desc(F.col("lift") * F.sqrt("a")), "f").limit(FEATURES).collect()
     index = {r["f"]: k for k, r in enumerate(chosen)}
-    lift = np.array([r["lift"] for r in chosen])
+    a = np.array([[r["a"] - r["a1"], r["a1"]] for r in chosen], float).reshape(-1, 2)
+    b = np.array([[r["n"] - r["n1"], r["n1"]] for r in chosen], float).reshape(-1, 2) - a
+    toxic, clean = (np.array([in_half.get((h, y), 0) for h in (0, 1)], float) for y in (1, 0))
+    # By half what is commoner in the other one.
+    lift = np.maximum(0, np.log((a + 0.5) / (toxic + 1)) - np.log((b + 0.5) / (clean + 1)))[:, ::-1]
 
     def rows(batch):
         found = []
@@ -72,12 +79,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         return {"y": [int(t[0] == "1") for t in batch], "k": [list(x) for x in found], "n": [list(x.values()) for x in found], "words": [len(t) for t in batch]}
 
     # Bounded by the sample and by FEATURES.
-    data = by_rows(texts, "id", "t", rows, {"y": "bigint", "k": "array<bigint>", "n": "array<bigint>", "words": "bigint"}).sort("id").collect()
+    data = by_rows(texts, "id", "t", rows, {"y": "bigint", "k": "array<bigint>", "n": "array<bigint>", "words": "bigint"}).withColumn("half", half).sort("id").collect()
     y = np.array([r["y"] for r in data])
     r_of = np.repeat(np.arange(len(data)), [len(r["k"]) for r in data])
     k_of = np.array([k for r in data for k in r["k"]], int)
     v_of = np.log1p(np.array([n for r in data for n in r["n"]], float))
-    density = np.bincount(r_of, v_of * lift[k_of] if len(k_of) else None, len(data)) / np.log1p([r["words"] for r in data])
+    half_of = np.array([r["half"] for r in data], int)[r_of]
+    density = np.bincount(r_of, v_of * lift[k_of, half_of] if len(k_of) else None, len(data)) / np.log1p([r["words"] for r in data])
     grade = np.zeros(len(data), int)
     grade[y == 1] = 1 + np.searchsorted(np.quantile(density[y == 1], [1 / 3, 2 / 3]), density[y == 1])
     w, b = np.zeros(len(index)), np.array([1.0, 2.0, 3.0])[: GRADES - 1]

@@ -52,7 +52,8 @@ def drop_frequent_lines(rows: DataFrame, ratio: float = 0.3, least: int = 5, hos
     out = rows.withColumn("host", host).join(F.broadcast(often) if size <= BROADCAST else often.hint("merge"), "host", "left")
     left = F.when(F.col("gone").isNull(), lines).otherwise(F.filter(lines, lambda x: F.coalesce(~F.array_contains("gone", key(x)), F.lit(True))))
     fields = [f for f in rows.schema["row"].dataType.names if f != kept_col]
-    return out.select(*(F.col("row")[f].alias(f) for f in fields), left.alias(kept_col))
+    # Named only afterwards: a column called like one of ours would be taken for it.
+    return out.select("row", left.alias("left")).select(*(F.col("row")[f].alias(f) for f in fields), F.col("left").alias(kept_col))
 
 
 def dedup_pages(pages: DataFrame, ratio: float = 0.3, least: int = 5, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

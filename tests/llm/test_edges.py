@@ -170,3 +170,27 @@ def test_toxic_held_out(spark):
     labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(200)], "doc_id bigint, toxic int")
     out = {r["doc_id"]: r["toxic"] for r in toxicity.severity(frame(spark, docs), labels).collect()}
     assert sum(out[i] == (i % 5 == 0) for i in range(200, 400)) >= 195
+
+
+LONG = [(1, "w" * 2_000_000, "a"), (2, " ".join(f"w{i % 977}" for i in range(200_000)), "b"), (3, "\n".join(["line"] * 100_000), "a")]
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_very_long_texts(spark, name):
+    assert OPERATORS[name](frame(spark, LONG)).count() == len(LONG)
+
+
+def test_pages_without_rows_hosts_or_text(spark):
+    schema = "page_id bigint, url string, html string, host string, lines string, kept string, gone string, pages string, row string"
+    assert lines.dedup_pages(spark.createDataFrame([], schema)).count() == 0
+    rows = [(i, None, "<p>x</p>" + ("<i>y</i>" if i else ""), "h", "l", "k", "g", "p", "r") for i in range(9)] + [(0, "no url", "", "h", "l", "k", "g", "p", "r")] * 2
+    got = lines.dedup_pages(spark.createDataFrame(rows, schema)).collect()
+    assert len(got) == 11 and {r["host"] for r in got} == {""} and all(r["kept"] == [] for r in got)
+
+
+def test_lines_keep_columns_of_any_name(spark):
+    rows = spark.createDataFrame([("h", ["a", None, " "], 1, 2, 3), (None, None, 1, 2, 3)], "host string, lines array<string>, gone int, pages int, kept int")
+    out = lines.drop_frequent_lines(rows)
+    assert sorted(out.columns) == sorted(rows.columns)
+    got = {r["host"]: (r["kept"], r["gone"], r["pages"]) for r in out.collect()}
+    assert got == {"h": (["a", None, " "], 1, 2), None: (None, 1, 2)}

@@ -41,14 +41,21 @@ def ship(spark: SparkSession) -> None:
     context._leafgauge_shipped = True
 
 
-def cut(df: DataFrame, parts: int | None = None) -> DataFrame:
+#: Shuffle partitions to a file of a small frame.
+SMALL = 8
+
+
+def cut(df: DataFrame, parts: int | None = None, small: bool = False) -> DataFrame:
     """Compute df once into the shared checkpoint folder; later reads survive lost executors and repeat no work.
 
-    parts: write at most so many files, for frames that are small beside the shuffle before them. What only the cut
+    parts: write at most so many files; small: a file for every SMALL of the session's shuffle partitions, for frames that
+    are small beside the shuffle they come from and would be thousands of tiny files. What only the cut
     lineage needed, shuffle files above all, goes when the driver's collector sees that it is gone, so it is asked to look.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
+    if small:
+        parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // SMALL)
     out = (df.coalesce(parts) if parts else df).checkpoint(eager=True)
     gc.collect()
     spark.sparkContext._jvm.System.gc()

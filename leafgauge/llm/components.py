@@ -24,7 +24,7 @@ def components(links: DataFrame) -> DataFrame:
     def state(e):
         return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
-    e = cut(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    e = cut(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), small=True)
     before = state(e)
     while before[0]:
         e = e.coalesce(int(before[0]) // ROWS + 1)
@@ -33,7 +33,7 @@ def components(links: DataFrame) -> DataFrame:
         e = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         least = e.groupBy("u").agg(F.min("v").alias("m"))
         e = e.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x")).select("x.u", "x.v")
-        e = cut(e.where("u <> v").distinct())
+        e = cut(e.where("u <> v").distinct(), int(before[0]) // ROWS + 1)
         now = state(e)
         if now == before:
             break

@@ -47,7 +47,7 @@ def drop_frequent_lines(rows: DataFrame, ratio: float = 0.3, least: int = 5, hos
     blank = F.md5(F.lit(""))
     count = rows.select(host.alias("host"), F.explode(F.array_distinct(F.transform(lines, key))).alias("m")).where(F.col("m") != blank).groupBy("host", "m").agg(F.count("*").alias("n"))
     often = count.where(F.col("n") >= least).join(total, "host").where(F.col("n") > F.lit(ratio) * F.col("pages"))
-    often = cut(often.groupBy("host").agg(F.collect_set("m").alias("gone")))
+    often = cut(often.groupBy("host").agg(F.collect_set("m").alias("gone")), small=True)
     size = often.agg(F.sum(F.lit(64) + F.octet_length("host") + 48 * F.size("gone"))).first()[0] or 0
     out = rows.withColumn("host", host).join(F.broadcast(often) if size <= BROADCAST else often.hint("merge"), "host", "left")
     left = F.when(F.col("gone").isNull(), lines).otherwise(F.filter(lines, lambda x: F.coalesce(~F.array_contains("gone", key(x)), F.lit(True))))

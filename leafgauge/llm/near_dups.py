@@ -33,6 +33,8 @@ BLOCK, BLOCKS = 2048, 16
 SPLITS = 5
 #: An estimated similarity lies below the true one by this much about once in 10^4 pairs.
 MARGIN = 0.1
+#: Documents to a file of what is kept between steps at least, beyond a few files.
+PART, FEW = 20_000, 12
 #: Neighbours in other components up to which a node's pairs leave their region unconfirmed.
 PARTNERS = 16
 
@@ -104,7 +106,7 @@ def _keyed(nodes: DataFrame, several: str) -> DataFrame:
     return keys.select("tree", "region", "id").join(per.hint("merge"), ["tree", "region"]).select("tree", "region", "count", "id")
 
 
-def _regions(nodes: DataFrame) -> tuple[DataFrame, bool]:
+def _regions(nodes: DataFrame, parts: int | None = None) -> tuple[DataFrame, bool]:
     """Rows (tree, region, bi, bj, b, id, n, comp, sketch) of nodes dealt to the regions that hold several components; whether
     any has a longer prefix.
 
@@ -112,12 +114,12 @@ def _regions(nodes: DataFrame) -> tuple[DataFrame, bool]:
     hold links meets once; one of more than BLOCKS blocks is dealt out SPLITS times by longer prefixes first, as far as
     DEPTHS goes, if that leaves fewer pairs.
     """
-    light = cut(_keyed(nodes, "comp"))
+    light = cut(_keyed(nodes, "comp"), parts)
     rows = light.drop("count").join(nodes.drop("keys").hint("merge"), "id").withColumn("nb", F.lit(1)).withColumn("deep", F.lit(True)).withColumn("path", F.col("tree"))
     deeper, reads = False, _reads()
     for d in range(len(DEPTHS)):
         sizes = rows.where("deep").groupBy("tree", "region").count() if d else light.select("tree", "region", "count").distinct()
-        large = cut(sizes.where(F.col("count") > BLOCK))
+        large = cut(sizes.where(F.col("count") > BLOCK), parts)
         if large.isEmpty():
             break
         larger = large.where(F.col("count") > BLOCK * BLOCKS) if d + 1 < len(DEPTHS) else large.limit(0)
@@ -130,7 +132,7 @@ def _regions(nodes: DataFrame) -> tuple[DataFrame, bool]:
             below = rows.where("deep").join(larger.select("tree", "region"), ["tree", "region"], "left_semi").withColumn("next", F.explode(paths)).select("tree", "region", key.alias("below"))
             square = F.col("count").cast("double") * F.col("count")
             cost = below.groupBy("tree", "region", "below").count().groupBy("tree", "region").agg(F.sum(square).alias("cost"))
-            split = cut(larger.join(cost, ["tree", "region"]).where(F.col("cost") < square).select("tree", "region", F.lit(True).alias("deep2")))
+            split = cut(larger.join(cost, ["tree", "region"]).where(F.col("cost") < square).select("tree", "region", F.lit(True).alias("deep2")), parts)
         large = large.select("tree", "region", F.ceil(F.col("count") / BLOCK).cast("int").alias("nb2"))
         large = large.join(split, ["tree", "region"], "left") if split is not None else large.withColumn("deep2", F.lit(False))
         rows = rows.join(large, ["tree", "region"], "left").withColumn("deep", F.col("deep") & F.coalesce("deep2", F.lit(False)))
@@ -394,28 +396,29 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     columns are not looked at.
     """
     sets = cut(signatures(docs, k, id_col, text_col))
+    parts = sets.count() // PART + FEW
     full = sets.where("n > 0 and id is not null")
     least = full.groupBy("h1", "h2").agg(F.min("id").alias("rep"))
-    of_doc = cut(full.select("id", "n", "h1", "h2").join(least.hint("merge"), ["h1", "h2"]).select("id", "n", "rep"))
+    of_doc = cut(full.select("id", "n", "h1", "h2").join(least.hint("merge"), ["h1", "h2"]).select("id", "n", "rep"), parts)
     nodes = full.join(least.select(F.col("rep").alias("id"), "h1", "h2").hint("merge"), ["id", "h1", "h2"], "left_semi").select("id", "n", "sketch", "keys")
-    nodes = cut(nodes.withColumn("comp", F.col("id")))
+    nodes = cut(nodes.withColumn("comp", F.col("id")), parts)
 
-    found = cut(_walked(nodes, percent))
+    found = cut(_walked(nodes, percent), parts)
     near = found.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = cut(_packed(docs, id_col, text_col).join(near.hint("merge"), "id", "left_semi").dropDuplicates(["id"]))
+    texts = cut(_packed(docs, id_col, text_col).join(near.hint("merge"), "id", "left_semi").dropDuplicates(["id"]), 10 * parts)
     pairs = found.where("a < b")
-    links = cut(_confirmed(pairs, texts, k, percent))
+    links = cut(_confirmed(pairs, texts, k, percent), parts)
     first = components(links).withColumnRenamed("node", "id")
     again = nodes.drop("comp").join(near.hint("merge"), "id", "left_semi").join(first.hint("merge"), "id", "left")
-    again = cut(again.withColumn("comp", F.coalesce("component", "id")).drop("component"))
+    again = cut(again.withColumn("comp", F.coalesce("component", "id")).drop("component"), parts)
     # Two nodes of equal base keys have met in that tree, unless it was read to longer prefixes there.
-    rows, deep = _regions(again.withColumn("base", F.slice("keys", 1, TREES)))
+    rows, deep = _regions(again.withColumn("base", F.slice("keys", 1, TREES)), parts)
     across = cut(_across(rows.withColumn("base", F.lit(None).cast("array<bigint>")) if deep else rows, percent))
     more = across.where("b is not null").select("a", "b").distinct().join(pairs.hint("merge"), ["a", "b"], "left_anti")
     many = across.where("b is null").select(F.col("a").alias("id"), *REGION, F.col("block").alias("b"))
     base = F.lit(None).cast("array<bigint>") if deep else F.slice("keys", 1, TREES)
     many = many.join(again.select("id", "n", "comp", "sketch", base.alias("base")).hint("merge"), "id").join(texts.hint("merge"), "id").select(*REGION, "b", "id", "n", "comp", "sketch", "base", "z")
-    links = links.union(cut(_confirmed(more, texts, k, percent).union(_joined_there(many, k, percent))))
+    links = links.union(cut(_confirmed(more, texts, k, percent).union(_joined_there(many, k, percent)), parts))
     # Rows of one id that have different texts hang together.
     several = of_doc.groupBy("id").agg(F.min("rep").alias("m"), F.max("rep").alias("x")).where("m < x")
     same = of_doc.join(several, "id").select(F.col("rep").alias("a"), F.col("m").alias("b"))

@@ -47,7 +47,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     some = cut(some.orderBy(F.xxhash64("id"), "id").limit(sample))
     # At most `sample` labelled ids are broadcast, and as many texts written.
     texts = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("t")).join(F.broadcast(some), "id")
-    texts = cut(texts.groupBy("id").agg(F.max(F.concat(F.col("y").cast("string"), F.coalesce("t", F.lit("")))).alias("t")))
+    texts = cut(texts.groupBy("id").agg(F.max(F.concat(F.col("y").cast("string"), F.coalesce("t", F.lit("")))).alias("t")), small=True)
 
     def features(batch):
         got = [(t[0] == "1", _counts(t[1:])) for t in batch]

@@ -161,8 +161,8 @@ _sql10, _html10 = _fixture(("'td'", "''", "case when a % 5 = 0 then 'flat <p>blo
 
 
 @query(f"""with {_sql10}, s as (select tid, r, k as col, cells[k + 1].html as h from rows, (select unnest([0, 1]) as k)), b as (select *, {_plain('h')} as p, lead({_plain('h')}) over (partition by tid, col order by r) as below from s)
-select tid, r::int as row, col::int as col, 'flat and block' as rule from b where h like 'flat%' union all select tid, r, col, 'inside a sentence' from b, range(2) where h like '<p>One%'
-union all select tid, r, col, 'torn' from b where p <> '' and right(p, 1) not in ('.', '!', '?', ':', ';', '…', '"', '”', chr(39), ')', ']') and regexp_matches(below, '^[a-z(‘’]')""")
+select tid, r::int as row, col::int as col, 'flat and block' as rule from b where h like 'flat%' union all select tid, r::int, col::int, 'inside a sentence' from b, range(2) where h like '<p>One%'
+union all select tid, r::int, col::int, 'torn' from b where p <> '' and right(p, 1) not in ('.', '!', '?', ':', ';', '…', '"', '”', chr(39), ')', ']') and regexp_matches(below, '^[a-z(‘’]')""")
 def table_seams(spark, sf_dir):
     d = _html10(spark, sf_dir)
     return d.select("tid", F.explode(tables.seam_flags(tables.parse(d.html))).alias("f")).select("tid", "f.row", "f.col", "f.rule")

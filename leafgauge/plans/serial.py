@@ -11,7 +11,7 @@ from . import card, sheet
 from .registry import query, table
 
 _TYPES = "case a % 7 when 0 then 'paragraph' when 1 then 'paragraph' when 2 then 'item' when 3 then 'turn' when 4 then 'code' when 5 then 'commentary' else 'caption' end"
-_BLOCKS = f"""select doc, row_number() over (partition by doc order by page, ln, a, b, e, s) as k, page, {_TYPES} as type, b % 4 = 0 as quote, case when b % 2 = 0 then 'user' else 'assistant' end as role, case a % 5 when 0 then 'Ends here.' when 1 then 'goes on' when 2 then 'Upper start,' when 3 then '[label]:' else 'word ' || a end as text,
+_BLOCKS = f"""select doc, cast(row_number() over (partition by doc order by page, ln, a, b, e, s) as bigint) as k, page, {_TYPES} as type, b % 4 = 0 as quote, case when b % 2 = 0 then 'user' else 'assistant' end as role, case a % 5 when 0 then 'Ends here.' when 1 then 'goes on' when 2 then 'Upper start,' when 3 then '[label]:' else 'word ' || a end as text,
 cast(72 + (b % 3) * 18 as double) as x0, cast(72 as double) as marker_x0, 8.5 + b % 3 as size, a, b from (select cast(floor(l_orderkey / 8.0) as bigint) as doc, 1 + l_orderkey % 8 as page, l_linenumber as ln, l_partkey as a, l_suppkey as b, l_extendedprice as e, l_shipdate as s from {{lineitem}})"""
 _b = f"b as materialized ({_BLOCKS.format(lineitem='lineitem')})"
 _w = "over (partition by doc order by k)"

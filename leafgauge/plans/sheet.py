@@ -156,7 +156,7 @@ def column_chains(spark, sf_dir):
     return layout.column_chains(spans(spark, sf_dir).withColumn("y0", top).withColumn("y1", F.col("y0") + 4))
 
 
-_images = "select cast(floor(l_orderkey / 16.0) as bigint) as page, row_number() over (partition by floor(l_orderkey / 16.0) order by l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate) as num, case when l_partkey % 3 = 0 then 'smask' else 'image' end as type, l_suppkey % 2 as object from {lineitem}"
+_images = "select cast(floor(l_orderkey / 16.0) as bigint) as page, cast(row_number() over (partition by floor(l_orderkey / 16.0) order by l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate) as bigint) as num, case when l_partkey % 3 = 0 then 'smask' else 'image' end as type, l_suppkey % 2 as object from {lineitem}"
 
 
 @query(f"""with i as ({_images.format(lineitem='lineitem')}), n as (select *, lead(type) over w as t, lead(object) over w as o, lead(num) over w as m from i window w as (partition by page order by num)) select page, num, 'p' || case when page < 1000 then lpad(page::varchar, 3, '0') else left(page::varchar, 3) end || '-' || row_number() over (partition by page order by num) || '.png' as file, case when t = 'smask' and o = object then m end as mask from n where type = 'image'""")

@@ -11,6 +11,8 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..shipping import shipped
+
 Edit = tuple[int, int, str]
 #: Which check each class is made for.
 INVARIANT = {
@@ -106,4 +108,4 @@ def mutate_all(sections: DataFrame, id_col: str, text_col: str, kind_col: str, p
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.string(), pa.string()), strict=True)], [id_col, kind_col, text_col])
 
     rows = sections.select(F.col(id_col).cast("bigint").alias(id_col), text_col, kind_col, F.col(pick_col).cast("bigint").alias(pick_col))
-    return rows.mapInArrow(work, f"{id_col} bigint, {kind_col} string, {text_col} string")
+    return shipped(rows).mapInArrow(work, f"{id_col} bigint, {kind_col} string, {text_col} string")

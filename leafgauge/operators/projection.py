@@ -17,6 +17,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..shipping import shipped
+
 # The patterns of the Markdown dialect, by kind.
 HEADER = re.compile(r"<!--\s*source: source\.pdf pages (\d+)-(\d+)\s*-->")
 MARKER = re.compile(r"<!--\s*p\.(\d+)\s*-->")
@@ -216,4 +218,4 @@ def project_all(sections: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], [id_col, "ord", "kind", "page", "text", "target"])
 
     rows = sections.select(F.col(id_col).cast("bigint").alias(id_col), text_col)
-    return rows.mapInArrow(work, f"{id_col} bigint, ord bigint, kind string, page bigint, text string, target string")
+    return shipped(rows).mapInArrow(work, f"{id_col} bigint, ord bigint, kind string, page bigint, text string, target string")

@@ -11,6 +11,8 @@ from collections import Counter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..shipping import shipped
+
 
 def _anchors(a: list, b: list) -> list[tuple[int, int]]:
     """Places (in a, in b) of words that each side has once, the longest run of them that goes up on both sides."""
@@ -79,7 +81,7 @@ def word_flags(pairs: DataFrame, key: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], list(names))
 
     rows = pairs.select(F.col(key).cast("bigint").alias(key), "a", "b", F.col("pages").cast("array<bigint>").alias("pages"))
-    return rows.mapInArrow(work, f"{key} bigint, op string, page bigint, at_a bigint, at_b bigint, n bigint, missing string, extra string")
+    return shipped(rows).mapInArrow(work, f"{key} bigint, op string, page bigint, at_a bigint, at_b bigint, n bigint, missing string, extra string")
 
 
 def word_ops(pairs: DataFrame, key: str) -> DataFrame:

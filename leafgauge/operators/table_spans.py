@@ -16,6 +16,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..shipping import shipped
 from .tables import ROWS
 
 SPAN = "struct<text:string,x0:double,y0:double,x1:double,y1:double,bold:boolean,zone:string>"
@@ -327,4 +328,4 @@ def repair_all(tables: DataFrame, id_col: str = "tid", rows_col: str = "rows", s
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, kind)], [id_col, rows_col])
 
     rows = tables.select(F.col(id_col).cast("bigint").alias(id_col), F.col(rows_col).cast(ROWS).alias(rows_col), F.col(spans_col).cast(f"array<{SPAN}>").alias(spans_col))
-    return rows.mapInArrow(work, f"{id_col} bigint, {rows_col} {ROWS}")
+    return shipped(rows).mapInArrow(work, f"{id_col} bigint, {rows_col} {ROWS}")

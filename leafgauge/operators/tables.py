@@ -87,16 +87,16 @@ def demote_headers(rows: Column) -> Column:
 
 def promote_split_leads(rows: Column) -> Column:
     """A header lead above a row as wide that lacks its own gets rowspan 2, in tables that have such leads already."""
-    used = F.exists(rows, lambda r: F.exists(r, lambda c: c["attrs"].contains('rowspan="2"')))
+    used = lambda rows: F.exists(rows, lambda r: F.exists(r, lambda c: c["attrs"].contains('rowspan="2"')))
 
-    def one(row, i):
+    def one(rows, row, i):
         below, lead = F.get(rows, i + 1), F.get(row, F.lit(0))
         bare = T.trim(F.get(below, F.lit(0))["html"]) == ""
         filled = F.exists(below, lambda c: plain(c["html"]) != "")
         ok = (lead["tag"] == "th") & ~lead["attrs"].contains("rowspan") & (T.trim(lead["html"]) != "") & (F.size(below) == F.size(row)) & bare & filled
         return F.when(F.coalesce(ok, F.lit(False)), F.concat(F.array(cell(lead["tag"], F.concat(F.lit(' rowspan="2"'), lead["attrs"]), lead["html"])), F.slice(row, 2, F.size(row)))).otherwise(row)
 
-    return F.when(used, F.transform(rows, one)).otherwise(rows)
+    return T.once(rows, lambda t: F.when(used(t), F.transform(t, lambda row, i: one(t, row, i))).otherwise(t))
 
 
 def settle_covered_rows(rows: Column) -> Column:
@@ -125,17 +125,14 @@ def escape(c: Column) -> Column:
 def uncascade(rows: Column) -> Column:
     """Cells that end with all of the cell below are cut where that begins, in tables of three rows or more."""
 
-    def one(row, r):
-        def cut(c, k):
-            below = F.get(F.get(rows, r + 1), k)["html"]
-            a, b = T.cell_key(c["html"]), T.cell_key(below)
-            keep = F.length(a) - F.length(b)
-            lead = F.call_function("regexp_extract", T.unescape(T.strip_tags(c["html"])), F.concat(F.lit(r"^(?:\s*\S){"), F.greatest(keep, F.lit(0)).cast("string"), F.lit("}")), F.lit(0))
-            return F.when(F.coalesce((b != "") & (keep > 0) & a.endswith(b), F.lit(False)), cell(c["tag"], c["attrs"], escape(lead))).otherwise(c)
+    def cut(c, a, b):
+        keep = F.length(a) - F.length(b)
+        lead = F.call_function("regexp_extract", T.unescape(T.strip_tags(c["html"])), F.concat(F.lit(r"^(?:\s*\S){"), F.greatest(keep, F.lit(0)).cast("string"), F.lit("}")), F.lit(0))
+        return F.when(F.coalesce((b != "") & (keep > 0) & a.endswith(b), F.lit(False)), cell(c["tag"], c["attrs"], escape(lead))).otherwise(c)
 
-        return F.transform(row, cut)
-
-    return F.when(F.size(rows) >= 3, F.transform(rows, one)).otherwise(rows)
+    keys = lambda rows: F.transform(rows, lambda r: F.transform(r, lambda c: T.cell_key(c["html"])))
+    every = lambda rows, keys: F.transform(rows, lambda row, r: F.transform(row, lambda c, k: cut(c, F.get(F.get(keys, r), k), F.get(F.get(keys, r + 1), k))))
+    return T.once(rows, lambda t: F.when(F.size(t) >= 3, T.once(keys(t), lambda k: every(t, k))).otherwise(t))
 
 
 def every_cell(rows: Column, change) -> Column:
@@ -194,9 +191,9 @@ def join_torn_rows(rows: Column) -> Column:
 
 def extend_spans(rows: Column) -> Column:
     """Rows one column short of the table that no first cell spans: the last first cell that spanned rows up to there spans them too."""
-    full = F.array_max(F.transform(rows, width))
+    start = F.struct(F.lit(0).alias("covered"), F.lit(-1).alias("at"), F.lit(0).alias("span"), F.array().cast(ROWS).alias("rows"))
 
-    def step(acc, row):
+    def step(full, acc, row):
         span = attribute(F.get(row, F.lit(0))["attrs"], "rowspan")
         n = F.size(acc["rows"])
         opens = (acc["covered"] <= 0) & span.isNotNull()
@@ -208,8 +205,8 @@ def extend_spans(rows: Column) -> Column:
         new = F.when(opens, span).when(short, acc["span"] + 1).otherwise(acc["span"])
         return F.struct(covered.cast("int").alias("covered"), at.cast("int").alias("at"), new.cast("int").alias("span"), F.concat(before, F.array(row)).alias("rows"))
 
-    start = F.struct(F.lit(0).alias("covered"), F.lit(-1).alias("at"), F.lit(0).alias("span"), F.array().cast(ROWS).alias("rows"))
-    return F.aggregate(rows, start, step, lambda a: a["rows"])
+    fold = lambda t, full: F.aggregate(t, start, lambda acc, row: step(full, acc, row), lambda a: a["rows"])
+    return T.once(rows, lambda t: T.once(F.array_max(F.transform(t, width)), lambda full: fold(t, full)))
 
 
 def row_key(row: Column) -> Column:
@@ -222,21 +219,25 @@ def join_tables(above: Column, below: Column, page: Column) -> Column:
 
     The first row after the seam has the page's marker before its first cell's text.
     """
-    keys = lambda rows: F.transform(rows, row_key)
     n = lambda row: F.size(row)
-    fits = (F.size(above) > 0) & (F.size(below) > 0) & ((n(F.get(below, F.lit(0))) == n(F.get(above, F.lit(0)))) | (n(F.get(below, F.lit(0))) == n(F.element_at(above, -1))))
-    a, b = keys(above), keys(below)
-    again = F.coalesce(F.array_min(F.filter(F.transform(b, lambda k, i: F.when(F.coalesce(F.get(a, i) == k, F.lit(False)), F.lit(None)).otherwise(i)), lambda x: x.isNotNull())), F.size(below))
-    rest = F.slice(below, again + 1, F.size(below))
-    marked = F.transform(rest, lambda r, i: F.when(i == 0, F.transform(r, lambda c, k: F.when(k == 0, cell(c["tag"], c["attrs"], F.concat(F.lit("<!-- p."), page.cast("string"), F.lit(" -->"), c["html"]))).otherwise(c))).otherwise(r))
-    return F.when(fits, F.concat(above, marked))
+
+    def joined(above, below, a, b):
+        fits = (F.size(above) > 0) & (F.size(below) > 0) & ((n(F.get(below, F.lit(0))) == n(F.get(above, F.lit(0)))) | (n(F.get(below, F.lit(0))) == n(F.element_at(above, -1))))
+        again = F.coalesce(F.array_min(F.filter(F.transform(b, lambda k, i: F.when(F.coalesce(F.get(a, i) == k, F.lit(False)), F.lit(None)).otherwise(i)), lambda x: x.isNotNull())), F.size(below))
+        rest = F.slice(below, again + 1, F.size(below))
+        marked = F.transform(rest, lambda r, i: F.when(i == 0, F.transform(r, lambda c, k: F.when(k == 0, cell(c["tag"], c["attrs"], F.concat(F.lit("<!-- p."), page.cast("string"), F.lit(" -->"), c["html"]))).otherwise(c))).otherwise(r))
+        return F.when(fits, F.concat(above, marked))
+
+    keys = lambda rows: F.transform(rows, row_key)
+    whole = lambda x, y: T.once(keys(x), lambda a: T.once(keys(y), lambda b: joined(x, y, a, b)))
+    return T.once(above, lambda x: T.once(below, lambda y: whole(x, y)))
 
 
 def seam_flags(rows: Column) -> Column:
     """Flags (rule, row, col) of a table: a cell that mixes bare text and paragraphs, a paragraph that begins within a
     sentence, a cell without an end above one that goes on."""
 
-    def of(row, r):
+    def of(rows, row, r):
         def one(c, k):
             below = plain(F.get(F.get(rows, r + 1), k)["html"])
             mix = c["html"].contains("<p>") & c["html"].rlike(r"^\s*[^<\s]")
@@ -247,7 +248,7 @@ def seam_flags(rows: Column) -> Column:
 
         return F.flatten(F.transform(row, one))
 
-    return F.flatten(F.transform(rows, of))
+    return T.once(rows, lambda t: F.flatten(F.transform(t, lambda row, r: of(t, row, r))))
 
 
 def join_wrapped(parts: Column) -> Column:

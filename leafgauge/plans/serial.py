@@ -173,7 +173,7 @@ def gate_pages(spark, sf_dir):
 def character_bags(spark, sf_dir):
     """Whether two texts hold the same characters equally often."""
     d = table(spark, sf_dir, "documents").where("text <> ''")
-    bag = lambda c: F.array_sort(F.split(c, ""))
+    bag = lambda c: F.sort_array(F.split(c, ""))
     other = F.concat(F.reverse("text"), F.when(F.col("doc_id") % 3 == 0, "!").otherwise(""))
     return d.select("doc_id", (bag("text") == bag(other)).alias("same"))
 

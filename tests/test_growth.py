@@ -40,6 +40,14 @@ def test_left_out_counts_in_one_pass(spark):
     assert "Union" not in got._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_facts_come_in_bounded_batches(spark):
+    from leafgauge.operators import projection
+
+    md = projection.project_all(spark.createDataFrame([(i, f"<!-- p.{i} -->\n\nword {i}") for i in range(30)] + [(30, None)], "d int, t string"), "d", "t")
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 1000
+    assert md.where("kind = 'token'").count() == 60 and md.where("d = 30").count() == 0
+
+
 def test_intervals_are_dealt_out_by_size_and_not_gathered_to_few_tasks(spark):
     from leafgauge.plans import catalog
 

@@ -92,7 +92,7 @@ def test_keys_are_those_of_the_columns(spark, s):
     assert (audit.normal(s), audit.words(s), audit.key(s)) == (row["n"], row["t"], row["k"])
 
 
-@pytest.mark.parametrize("name", ["gate_clean"])
+@pytest.mark.parametrize("name", ["gate_clean", "mutation_recall"])
 def test_all_checks_are_one_pass(spark, name):
     plan = getattr(card, name)(spark, PLACE)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") <= 2 and "Join" not in plan and "Window" not in plan and plan.count("FileScan") == 1
